@@ -1,0 +1,89 @@
+"""Whole jobs out of the operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from feedlake.functions.expressions import window_text
+from feedlake.operators import delays, ingest, joins, keyed, sketches
+from feedlake.operators.similar import THRESHOLD, similar_pairs
+from feedlake.operators.validate import validate_feed
+
+
+def windowed(df: DataFrame, window: str) -> DataFrame:
+    """Rows with ``window_end`` text of their tumbling window; rows without a journey go."""
+    end = F.window("event_time", window)["end"]
+    return df.filter("rid IS NOT NULL").withColumn("window_end", window_text(end)).drop("event_time")
+
+
+def signatures(joined: DataFrame, window: str = "1 minute") -> DataFrame:
+    """``rid, window_end, minhash_signature`` of joined rows with an ``event_time``."""
+    return sketches.minhash_signature(windowed(joined, window), ["rid", "window_end"])
+
+
+def bloom_filters(joined: DataFrame, window: str = "1 minute") -> DataFrame:
+    """``rid, window_end, bloom_filter_base64`` of joined rows with an ``event_time``."""
+    return sketches.bloom_filter(windowed(joined, window), ["rid", "window_end"])
+
+
+def joined_features(schedule_records: DataFrame, ts_records: DataFrame, window: str) -> DataFrame:
+    """Distinct joined features of two JSON record streams; event time is the join window's last moment."""
+    schedule = keyed.parse_keyed_json(schedule_records, keyed.SCHEDULE_FIELDS)
+    status = keyed.parse_keyed_json(ts_records, keyed.TS_FIELDS)
+    features = joins.journey_features(schedule, status, window)
+    return features.withColumn("event_time", F.col("win.end") - F.expr("INTERVAL 1 MILLISECOND")).drop("win")
+
+
+def journey_similarity(
+    schedule_records: DataFrame,
+    ts_records: DataFrame,
+    join_window: str = joins.JOIN_WINDOW,
+    signature_window: str = "1 minute",
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """Records of both topics -> window join -> signatures -> similar pairs."""
+    features = joined_features(schedule_records, ts_records, join_window)
+    return similar_pairs(signatures(features, signature_window), threshold)
+
+
+def feed_to_rows(messages: DataFrame, ts_first: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Compressed messages -> (status rows, schedule rows) of the valid messages."""
+    routed = ingest.route_messages(ingest.parse_feed(ingest.decode_payload(messages)), ts_first)
+    valid = validate_feed(routed).filter("valid")
+    return ingest.flatten_ts(valid), ingest.flatten_schedule(valid)
+
+
+def delay_patterns(
+    schedule: DataFrame, ts: DataFrame, plane_count: int = 4, seed: int = 42
+) -> DataFrame:
+    """Delays -> per-journey vector -> bucket and its explanation."""
+    vectors = delays.delay_vector(delays.delay_calc(schedule, ts))
+    bucket = delays.lsh_bucket(F.col("delays"), delays.planes(plane_count, delays.VECTOR_LENGTH, seed))
+    bucketed = vectors.withColumn("bucket", bucket)
+    return bucketed.withColumn("explanation", delays.explain_bucket(F.col("bucket"), F.col("delays")))
+
+
+def pattern_moments(schedule: DataFrame, ts: DataFrame, plane_count: int = 4, seed: int = 42) -> DataFrame:
+    """Moments of all delays per bucket of the journey they belong to.
+
+    The vector side is one small row per journey; the delays side is what grows.
+    """
+    rows = delays.delay_calc(schedule, ts)
+    vectors = delays.delay_vector(rows)
+    bucket = delays.lsh_bucket(F.col("delays"), delays.planes(plane_count, delays.VECTOR_LENGTH, seed))
+    assigned = vectors.select("rid", bucket.alias("bucket"))
+    # per-journey sums first: the join then moves one row per journey, whatever its share
+    sums = rows.groupBy("rid").agg(
+        F.count("delay").alias("n"),
+        F.avg("delay").alias("m"),
+        F.var_pop("delay").alias("v"),
+    )
+    joined = sums.join(assigned, "rid")
+    # mean and variance of a union from the parts' counts, means and variances
+    total = F.sum("n")
+    second = F.sum(F.col("n") * (F.col("v") + F.col("m") * F.col("m"))) / total
+    mean = F.sum(F.col("n") * F.col("m")) / total
+    return joined.groupBy("bucket").agg(
+        total.alias("n"), mean.alias("mean"), F.greatest(second - mean * mean, F.lit(0.0)).alias("variance")
+    )
