@@ -8,28 +8,38 @@ trailing zero bytes dropped; an empty filter is the empty string.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedlake.functions.hashing import coefficients, universal_hash
+from feedlake.functions.hashing import coefficients
 
 
-def bit_positions(h: Column, bits: int, hashes: int, seed: int) -> list[Column]:
-    """The k bit positions of an element whose string hash is ``h``."""
-    return [universal_hash(h, a, b, bits) for a, b in coefficients(hashes, seed)]
+def words_with(h: Column, bits: int, hashes: int, seed: int) -> Column:
+    """ARRAY<BIGINT> of words holding the k bits of an element whose string hash is ``h``.
 
+    Array functions on purpose: 8 words times 7 tests written out as expressions
+    make one generated method too long for the JIT compiler.
+    """
+    pairs = F.array(
+        *[F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
+          for a, b in coefficients(hashes, seed)]
+    )
+    indexes = F.array(*[F.lit(j).cast("bigint") for j in range(bits // 64)])
+    one, none, size = (F.lit(v).cast("bigint") for v in (1, 0, bits))
 
-def word_with(positions: Sequence[Column], index: int) -> Column:
-    """Word ``index`` holding those of ``positions`` that fall into it."""
+    def bit(p: Column, j: Column) -> Column:
+        here = F.shiftright(p, 6) == j
+        return F.when(here, F.call_function("shiftleft", one, p.bitwiseAND(F.lit(63)).cast("int"))).otherwise(none)
 
-    def bit(p: Column) -> Column:
-        offset = p.bitwiseAND(F.lit(63)).cast("int")
-        set_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), offset)
-        return F.when(F.shiftright(p, 6) == index, set_bit).otherwise(F.lit(0).cast("bigint"))
+    def positions(x: Column) -> Column:
+        return F.transform(pairs, lambda p: F.pmod(p["a"] * x + p["b"], size))
 
-    return reduce(lambda x, y: x.bitwiseOR(y), [bit(p) for p in positions])
+    def words(ps: Column) -> Column:
+        return F.transform(indexes, lambda j: F.aggregate(ps, none, lambda acc, p: acc.bitwiseOR(bit(p, j))))
+
+    # one-element arrays bind the hash, then the positions, so each is computed once
+    return F.transform(F.transform(F.array(h), positions), words)[0]
 
 
 def word_has(word: Column, position: Column) -> Column:

@@ -116,13 +116,11 @@ def bloom_words(
     seed: int = FILTER_SEED,
 ) -> DataFrame:
     """Per group, the filter of its non-NULL elements as BIGINT words ``w0..``."""
-    hashed = df.withColumn("_h", F.when(F.col(element).isNotNull(), java_hash(F.col(element))))
-    positions = bits.bit_positions(F.col("_h"), n_bits, hashes, seed)
-    words = [
-        F.bit_or(F.when(F.col("_h").isNotNull(), bits.word_with(positions, j))).alias(f"w{j}")
-        for j in range(n_bits // 64)
-    ]
-    return hashed.groupBy(*keys).agg(*words)
+    known = F.col(element).isNotNull()
+    words = F.when(known, bits.words_with(java_hash(F.col(element)), n_bits, hashes, seed))
+    marked = df.withColumn("_w", words)
+    merged = [F.bit_or(F.get(F.col("_w"), F.lit(j))).alias(f"w{j}") for j in range(n_bits // 64)]
+    return marked.groupBy(*keys).agg(*merged)
 
 
 def bloom_filter(

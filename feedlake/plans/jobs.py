@@ -41,10 +41,11 @@ def journey_similarity(
     join_window: str = joins.JOIN_WINDOW,
     signature_window: str = "1 minute",
     threshold: float = THRESHOLD,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Records of both topics -> window join -> signatures -> similar pairs."""
     features = joined_features(schedule_records, ts_records, join_window)
-    return similar_pairs(signatures(features, signature_window), threshold)
+    return similar_pairs(signatures(features, signature_window), threshold, scratch=scratch)
 
 
 def feed_to_rows(messages: DataFrame, ts_first: bool = True) -> tuple[DataFrame, DataFrame]:

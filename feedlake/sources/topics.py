@@ -49,8 +49,11 @@ def replay_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parquet_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table folder (or a single file of it) as an unbounded source."""
-    return spark.readStream.schema(schema).parquet(path)
+    """A table folder, or a table kept as one file, as an unbounded source.
+
+    A streaming source takes a plain path for a folder; as a pattern it matches both.
+    """
+    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def raw_messages(records: DataFrame) -> DataFrame:
