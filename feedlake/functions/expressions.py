@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a costly ``value`` that later filters can use without evaluating it again.
+
+    The optimizer moves a filter below a projection by writing the expression out a
+    second time; it does not move one below a generator. So a parse or a decode goes
+    through a one-element ``explode``.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def feature_string(*parts: Column, null_text: str = "NULL") -> Column:
     """Parts joined by ``|``; a NULL part reads as ``null_text``."""
     return F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit(null_text)) for p in parts])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import schemas
-from feedlake.functions.expressions import dated, flag
+from feedlake.functions.expressions import dated, flag, with_once
 from feedlake.functions.payload import as_text, inflate, inflate_any
 
 HEADERS = ("processing_ts", "pp_sequence")
@@ -22,13 +22,13 @@ IGNORED_TYPES = ("SC", "AS", "OW", "TA", "TO", "TD", "LA")
 
 def decode_payload(messages: DataFrame, payload: str = "payload") -> DataFrame:
     """Inflate gzip/zlib payloads to ``body``; messages that do not inflate are dropped."""
-    decoded = messages.withColumn("_raw", inflate(F.col(payload))).filter("_raw IS NOT NULL")
+    decoded = with_once(messages, "_raw", inflate(F.col(payload))).filter("_raw IS NOT NULL")
     return decoded.withColumn("body", as_text(F.col("_raw"))).drop("_raw", payload)
 
 
 def decode_payload_any(messages: DataFrame, payload: str = "payload") -> DataFrame:
     """Try every known encoding; ``strategy`` names the one that gave XML, undecodable rows are dropped."""
-    decoded = messages.withColumn("_out", inflate_any(F.col(payload))).filter("_out.body IS NOT NULL")
+    decoded = with_once(messages, "_out", inflate_any(F.col(payload))).filter("_out.body IS NOT NULL")
     return decoded.select(
         *[c for c in messages.columns if c != payload],
         F.col("_out.strategy").alias("strategy"),
@@ -39,7 +39,7 @@ def decode_payload_any(messages: DataFrame, payload: str = "payload") -> DataFra
 def parse_feed(messages: DataFrame, body: str = "body") -> DataFrame:
     """Replace ``body`` by the parsed ``doc``; documents without the required root attributes are dropped."""
     doc = F.from_xml(F.col(body), schemas.FEED, {"ignoreNamespace": "true"})
-    parsed = messages.withColumn("doc", doc).drop(body)
+    parsed = with_once(messages, "doc", doc).drop(body)
     return parsed.filter("doc._ts IS NOT NULL AND doc._version IS NOT NULL")
 
 

@@ -173,7 +173,7 @@ ts_rows AS (
          NULL AS pta, NULL AS ptd, 'pass' AS event_type, minute AS forecast_time,
          minute AS estimated_time, NULL AS actual_time, NULL AS pta_timestamp, NULL AS ptd_timestamp,
          ssd || 'T' || minute AS forecast_timestamp, ssd || 'T' || minute AS estimated_timestamp,
-         NULL AS actual_timestamp, false AS is_delayed, 'TD' AS forecast_source, '5' AS platform,
+         NULL AS actual_timestamp, false AS is_delayed, 'TD' AS forecast_source, tpl || 'A' AS platform,
          true AS platform_confirmed, 'P' AS platform_source, false AS platform_suppressed,
          NULL AS wta, NULL AS wtd, clock AS wtp, processing_ts, CAST(event_id AS VARCHAR) AS pp_sequence
   FROM prep WHERE {_HAS_TS}
@@ -188,7 +188,7 @@ _POINTS = """
 points(location_type, activity, can, load, delay) AS (VALUES
   ('OR', 'TB', false, 40, 0), ('PP', '  ', false, NULL, 3), ('IP', '  ', true, NULL, 0), ('DT', 'TF', false, NULL, 0))"""
 _SCHEDULE_ROWS = """
-SELECT 'uR' AS container, rid, uid, '2A01' AS trainId, NULL AS rsid, ssd, 'GW' AS toc, 'P' AS status,
+SELECT 'uR' AS container, rid, uid, '2A01' AS trainId, NULL AS rsid, ssd, zone AS toc, 'P' AS status,
        'OO' AS trainCat, true AS isPassengerSvc, true AS isActive, false AS isDeleted,
        false AS isCharter, CAST(104 AS SMALLINT) AS cancelReasonCode, true AS cancelReasonNear,
        zone AS cancelReasonTiploc, location_type,
@@ -210,7 +210,7 @@ FROM sched, points"""
 
 _STATION_JSON = """
 '[{"stationCode":"' || tpl || '","workingTimePlanned":"' || clock
-|| '","platform":"5","platformConfirmed":true},{"stationCode":"' || zone
+|| '","platform":"' || tpl || 'A","platformConfirmed":true},{"stationCode":"' || zone
 || '","platform":"12","platformConfirmed":false}]'"""
 
 _CLOCK = (
@@ -302,7 +302,11 @@ FROM documents""",
     "route_messages": _with(_route("TS")),
     "route_messages_both": _with(_route("TS+schedule")),
     "validate_feed": _with(
-        f"SELECT event_id, true AS valid, CAST(NULL AS VARCHAR) AS reject_reason FROM prep WHERE {_PARSED}"
+        f"""SELECT event_id, reject_reason IS NULL AS valid, reject_reason FROM (
+            SELECT event_id, nullif(concat_ws(',',
+              CASE WHEN {_HAS_TS} AND length(tpl) > 2 THEN 'plat.VALUE' END,
+              CASE WHEN event_type IN ('purchase', 'signup') AND length(zone) <> 2 THEN 'schedule.toc' END), '')
+            AS reject_reason FROM prep WHERE {_PARSED})"""
     ),
     "flatten_ts": _with("SELECT * FROM ts_rows", _TS_ROWS),
     "flatten_schedule": _with(_SCHEDULE_ROWS, _POINTS),

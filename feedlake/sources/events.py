@@ -111,7 +111,8 @@ def feed_messages(prep: DataFrame) -> DataFrame:
 
     ``click`` update with status; ``view`` snapshot with status; ``purchase`` update
     with schedule; ``signup`` update with both; ``error`` a failure response, or a
-    cut-off document when the value is below 20.
+    cut-off document when the value is below 20. Large values give platform and
+    operator codes longer than the feed allows.
     """
     c = F.col
     minute = F.substring("clock", 1, 5)
@@ -122,7 +123,7 @@ def feed_messages(prep: DataFrame) -> DataFrame:
             "f:Location",
             _attrs(tpl=c("tpl"), wtp=c("clock")),
             _element("f:pass", _attrs(et=minute, src="TD")),
-            _element("f:plat", _attrs(conf="true"), F.lit("5")),
+            _element("f:plat", _attrs(conf="true"), F.concat("tpl", F.lit("A"))),
         ),
         _element(
             "f:Location",
@@ -134,7 +135,7 @@ def feed_messages(prep: DataFrame) -> DataFrame:
     )
     plan = _element(
         "schedule",
-        _attrs(rid=c("rid"), uid=c("uid"), trainId="2A01", ssd=c("ssd"), toc="GW"),
+        _attrs(rid=c("rid"), uid=c("uid"), trainId="2A01", ssd=c("ssd"), toc=c("zone")),
         _element("s:OR", _attrs(tpl=c("zone"), act="TB", ptd=minute, wtd=c("clock"), avgLoading="40")),
         _element("s:PP", _attrs(tpl=c("tpl"), wtp=c("clock"), rdelay="3")),
         _element("s:IP", _attrs(tpl="MID", wta=c("clock"), wtd=c("clock"), can="true")),
