@@ -42,10 +42,16 @@ def words_with(h: Column, bits: int, hashes: int, seed: int) -> Column:
     return F.transform(F.transform(F.array(h), positions), words)[0]
 
 
-def word_has(word: Column, position: Column) -> Column:
-    """Whether the bit at ``position`` (mod 64) is set in ``word``."""
-    offset = position.bitwiseAND(F.lit(63)).cast("int")
-    return F.call_function("shiftright", word, offset).bitwiseAND(F.lit(1)) == 1
+def digit_has(digits: Column, position: Column) -> Column:
+    """Whether the bit at ``position`` is set in a filter given as hex text of its bytes.
+
+    Bytes cut off at the end read as zero.
+    """
+    low_half = position.bitwiseAND(F.lit(4)) == 0
+    at = F.shiftright(position, 3) * 2 + F.when(low_half, 2).otherwise(1)
+    digit = F.substr(digits, at.cast("int"), F.lit(1))
+    value = F.when(digit == "", 0).otherwise(F.call_function("instr", F.lit("0123456789ABCDEF"), digit) - 1)
+    return F.call_function("shiftright", value, position.bitwiseAND(F.lit(3)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
 def words_to_text(words: Sequence[Column]) -> Column:

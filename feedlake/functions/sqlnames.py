@@ -31,15 +31,12 @@ def _definitions(sensitivity: float, epsilon: float) -> dict[str, str]:
         " ((h * 31 + (shiftright(c - 65536, 10) + 55296)) * 31 + ((c - 65536) & 1023) + 56320) & 4294967295L END"
     )
     sig, bloom = coefficients(SIGNATURE_LENGTH, SIGNATURE_SEED), coefficients(FILTER_HASHES, FILTER_SEED)
+    pairs = f"arrays_zip({_longs(a for a, _ in bloom)}, {_longs(b for _, b in bloom)})"
+    positions = f"transform({pairs}, p -> pmod(p['0'] * h + p['1'], {FILTER_BITS}L))"
     byte = (
-        "lpad(hex(aggregate(filter(array_distinct(flatten(transform(hs, h -> transform(pairs, p ->"
-        f" pmod(p.a * h + p.b, {FILTER_BITS}L))))), b -> b div 8 = i), 0, (acc, b) ->"
-        " acc + shiftleft(1, CAST(b % 8 AS INT)))), 2, '0')"
+        f"lpad(hex(aggregate(filter(array_distinct(flatten(transform(hs, h -> {positions}))), b -> b div 8 = i),"
+        " 0, (acc, b) -> acc + shiftleft(1, CAST(b % 8 AS INT)))), 2, '0')"
     )
-    pairs = "arrays_zip({0} AS a, {1} AS b)".format(
-        _longs(a for a, _ in bloom), _longs(b for _, b in bloom)
-    ).replace(" AS a", "").replace(" AS b", "")
-    byte = byte.replace("p.a", "p['0']").replace("p.b", "p['1']").replace("pairs", pairs)
     return {
         "JAVA_HASH(s STRING) RETURNS BIGINT": (
             "aggregate(transform(split(coalesce(s, ''), ''), x -> CAST(ascii(x) AS BIGINT)), 0L,"

@@ -164,16 +164,14 @@ def might_contain(
 
     May be true for an element that was never added, never false for one that was.
     """
-    words = F.array(*bits.text_to_words(text, n_bits))
     pairs = F.array(
         *[F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
           for a, b in coefficients(hashes, seed)]
     )
-
-    def is_set(ws: Column, h: Column, pair: Column) -> Column:
-        position = F.pmod(pair["a"] * h + pair["b"], F.lit(n_bits).cast("bigint"))
-        return bits.word_has(F.get(ws, F.shiftright(position, 6)), position)
-
-    # one-element array: binds words and hash once for all k tests
-    probe = F.array(F.struct(words.alias("ws"), java_hash(element).alias("h")))
-    return F.exists(probe, lambda x: F.forall(pairs, lambda pair: is_set(x["ws"], x["h"], pair)))
+    size = F.lit(n_bits).cast("bigint")
+    # one-element array: binds the decoded filter and the hash once for all k tests
+    probe = F.array(F.struct(F.hex(F.unbase64(text)).alias("digits"), java_hash(element).alias("h")))
+    return F.exists(
+        probe,
+        lambda x: F.forall(pairs, lambda p: bits.digit_has(x["digits"], F.pmod(p["a"] * x["h"] + p["b"], size))),
+    )

@@ -22,7 +22,7 @@ from feedlake.operators import counts, delays, ingest, joins, keyed, sketches
 from feedlake.operators.similar import similar_pairs
 from feedlake.operators.validate import validate_feed
 from feedlake.plans import jobs
-from feedlake.session import work_dir
+from feedlake.session import spread, work_dir
 from feedlake.sources import events as ev
 from feedlake.sources import sinks, topics
 from feedlake.streaming import jobs as streams
@@ -44,7 +44,7 @@ def prepare(spark: SparkSession) -> None:
 
 def _prep(spark: SparkSession, d: str) -> DataFrame:
     prepare(spark)
-    return ev.prepared(ev.load(spark, d, "events"))
+    return ev.prepared(spread(ev.load(spark, d, "events")))
 
 
 def _prep_stream(spark: SparkSession, d: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on at scale. AQE coalesces small shuffle partitions and
 # splits skewed ones in joins; forcing the skew split keeps it when a later
@@ -46,3 +46,21 @@ def work_dir(spark: SparkSession, label: str) -> str:
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{tempfile.mkdtemp(prefix='feedlake-')}/{leaf}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for row work on an input with fewer splits than cores.
+
+    A table of at least that many splits is returned as it is, so this never adds a
+    shuffle to a large input.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = len(df.inputFiles())
+    return df.repartition(cores) if splits < cores and _few_bytes(df, cores) else df
+
+
+def _few_bytes(df: DataFrame, cores: int) -> bool:
+    """Whether the scan is estimated below one full split per core."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    split = 128 * 1024 * 1024
+    return int(str(stats.sizeInBytes())) < cores * split
