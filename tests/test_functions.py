@@ -40,7 +40,7 @@ HASHES = {
     "": 0,
 }
 
-some = settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+some = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def _one(spark, column):

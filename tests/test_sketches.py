@@ -10,7 +10,7 @@ from feedlake.operators.similar import similar_pairs
 SCHEMA = "rid string, sch_tpl string, ts_tpl string, event_type string"
 ONE = [("r", "PADTLL", "PADTLL", "arr")]
 TWO = ONE + [("r", "PADTLL", "CLPHMJC", "dep")]
-some = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+some = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 @pytest.mark.parametrize(
