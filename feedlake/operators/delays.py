@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.hashing import coefficients
 from feedlake.functions.noise import add_laplace_noise, keyed_uniform
+from feedlake.operators.skew import HEAVY_ROWS, heavy_keys, join_to_unique
 
 VECTOR_LENGTH = 5
 HALF_DAY, DAY = 720.0, 1440.0
@@ -30,12 +31,13 @@ def clock_difference(later: Column, earlier: Column) -> Column:
     return F.when(gap > HALF_DAY, gap - DAY).when(gap < -HALF_DAY, gap + DAY).otherwise(gap)
 
 
-def delay_calc(schedule: DataFrame, ts: DataFrame) -> DataFrame:
+def delay_calc(schedule: DataFrame, ts: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """``rid, tpl, event_time, delay`` (minutes) for every status row with a scheduled time.
 
     The schedule is first reduced to its latest row per (journey, location), so each
     status row meets at most one: a location repeated in both streams cannot
-    multiply, and the reduction combines on the map side.
+    multiply, and the reduction combines on the map side. Status rows of a very
+    busy (journey, location) are spread over several tasks.
     """
     times = F.struct("wta", "wtd", "wtp")
     state = schedule.groupBy("rid", "tpl").agg(
@@ -49,8 +51,11 @@ def delay_calc(schedule: DataFrame, ts: DataFrame) -> DataFrame:
     fallback = F.coalesce("planned.wta", "planned.wtd", "planned.wtp")
     reported = F.col("actual_time")
     delay = clock_difference(reported, F.coalesce(planned, fallback))
+    keys = ["rid", "tpl"]
+    rows = ts.select(*keys, "event_time", "event_type", "actual_time").filter("actual_time IS NOT NULL")
+    salt = ["event_time", "event_type", "actual_time"]
     return (
-        ts.join(state, ["rid", "tpl"])
+        join_to_unique(rows, state, keys, heavy_keys(rows, keys, heavy_rows), salt, limit=heavy_rows)
         .select("rid", "tpl", "event_time", delay.alias("delay"))
         .filter(F.col("delay").isNotNull())
     )

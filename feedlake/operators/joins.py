@@ -28,18 +28,29 @@ def _side(df: DataFrame, names: dict[str, str], window: str, null_text: str | No
 
 
 def window_join(
-    schedule: DataFrame, ts: DataFrame, window: str = JOIN_WINDOW, null_text: str | None = "null"
+    schedule: DataFrame,
+    ts: DataFrame,
+    window: str = JOIN_WINDOW,
+    null_text: str | None = "null",
+    slices: int = 1,
 ) -> DataFrame:
     """Every schedule row with every status row of the journey in the same tumbling window.
 
     Both sides need ``rid``, ``event_time`` and their fields. Missing fields read
     as ``null_text`` (a text by default, ``None`` keeps them NULL). On streams, set
-    the watermarks first. One shuffle per side, on (window, journey); adaptive
-    execution splits a window-journey that outgrows its partition.
+    the watermarks first. One shuffle per side, on (window, journey). In batch,
+    adaptive execution splits a window-journey that outgrows its partition. Streams
+    have no such step: ``slices`` spreads the status rows of every window-journey
+    over that many tasks and gives each a copy of its schedule rows.
     """
     left = _side(schedule, _SCHEDULE, window, null_text)
     right = _side(ts, _STATUS, window, null_text)
-    return left.join(right, ["win", "rid"])
+    if slices == 1:
+        return left.join(right, ["win", "rid"])
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+    somewhere = F.pmod(F.xxhash64(*_STATUS.values()), F.lit(slices)).cast("int")
+    left, right = left.withColumn("slice", everywhere), right.withColumn("slice", somewhere)
+    return left.join(right, ["win", "rid", "slice"]).drop("slice")
 
 
 def journey_features(

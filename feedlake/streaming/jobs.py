@@ -33,10 +33,14 @@ def timed(df: DataFrame, delay: str = joins.WATERMARK, time: str = "event") -> D
 
 
 def join_stream(
-    schedule: DataFrame, ts: DataFrame, window: str = joins.JOIN_WINDOW, delay: str = joins.WATERMARK
+    schedule: DataFrame,
+    ts: DataFrame,
+    window: str = joins.JOIN_WINDOW,
+    delay: str = joins.WATERMARK,
+    slices: int = 1,
 ) -> DataFrame:
     """Windowed join of two watermarked streams; late rows are dropped, state goes with the window."""
-    return joins.window_join(timed(schedule, delay), timed(ts, delay), window)
+    return joins.window_join(timed(schedule, delay), timed(ts, delay), window, slices=slices)
 
 
 def _per_window(df: DataFrame, value: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedlake.operators import counts, delays
+from feedlake.operators.skew import heavy_keys, join_to_unique
 from feedlake.plans import jobs
 
 START = datetime(2025, 4, 30, 12, 0, 0)
@@ -56,6 +57,32 @@ def test_delay_uses_latest_plan_and_event(spark):
     assert [(r.tpl, r.delay) for r in got] == [("A", 4.0), ("A", 2.0), ("B", 2.0)]
 
 
+def test_heavy_keys_are_sliced_without_changing_the_result(spark):
+    plan = spark.createDataFrame([("hot", "A", _at(0), "10:00", "10:00", None), ("j", "B", _at(0), None, None, "10:01")], PLAN)
+    ids = spark.range(300)
+    hot = F.col("id") % 3 > 0
+    seen = ids.select(
+        F.when(hot, "hot").otherwise("j").alias("rid"),
+        F.when(hot, "A").otherwise("B").alias("tpl"),
+        F.timestamp_seconds(F.col("id")).alias("event_time"),
+        F.lit("arr").alias("event_type"),
+        F.lit("10:05").alias("actual_time"),
+    )
+    got = delays.delay_calc(plan, seen, heavy_rows=20)
+    assert sorted(got.collect()) == sorted(delays.delay_calc(plan, seen).collect())
+    assert got.count() == 300
+
+
+def test_join_to_unique_spreads_a_hot_key(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 400, 0).otherwise(F.col("id")).alias("k"), "id")
+    unique = spark.range(0, 1000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    heavy = heavy_keys(rows, ["k"], 50)
+    assert [tuple(r) for r in heavy.collect()] == [(0, 400)]
+    for how in ("inner", "left"):
+        got = join_to_unique(rows, unique, ["k"], heavy, ["id"], how, limit=50)
+        assert sorted(got.collect(), key=lambda r: r.id) == sorted(rows.join(unique, "k", how).collect(), key=lambda r: r.id)
+
+
 def _many(spark, n=400):
     rng = np.random.default_rng(3)
     rows = [

@@ -90,7 +90,8 @@ def test_late_rows_are_dropped(spark):
     ]
 
 
-def test_window_join_stream_equals_batch(spark):
+@pytest.mark.parametrize("slices", [1, 3])
+def test_window_join_stream_equals_batch(spark, slices):
     plan = [(f"j{k % 3}", _at(5 * k), "U", f"S{k}", "10:00", None, None) for k in range(20)]
     seen = [
         (f"j{k % 4}", _at(4 * k), None, f"T{k}", None, None, None, "9:59", None, "arr", None) for k in range(25)
@@ -98,7 +99,7 @@ def test_window_join_stream_equals_batch(spark):
     left, right = Feed(spark, SIDE), Feed(spark, STATUS)
     left.deliver(plan)
     right.deliver(seen)
-    stream = streams.join_stream(left.stream(), right.stream()).drop("win")
+    stream = streams.join_stream(left.stream(), right.stream(), slices=slices).drop("win")
     batch = joins.window_join(spark.createDataFrame(plan, SIDE), spark.createDataFrame(seen, STATUS)).drop("win")
     got = left.drained(stream).collect()
     assert sorted(got) == sorted(batch.collect())
@@ -116,7 +117,8 @@ def test_features_are_the_distinct_join(spark):
     names = ["rid", "sch_tpl", "ts_tpl", "event_type"]
     features = joins.journey_features(*sides).select(*names)
     assert sorted(features.collect()) == sorted(joins.window_join(*sides).select(*names).distinct().collect())
-    assert features.count() == 6 and joins.window_join(*sides).count() == 54
+    assert features.count() == 6
+    assert joins.window_join(*sides).count() == joins.window_join(*sides, slices=4).count() == 54
     kept = joins.window_join(*sides, null_text=None).first()
     assert kept.ts_wta is None
 
