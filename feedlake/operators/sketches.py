@@ -27,10 +27,13 @@ def signature_of(hashes: Column, length: int = SIGNATURE_LENGTH, seed: int = SIG
     a_s = F.array(*[F.lit(a).cast("bigint") for a, _ in pairs])
     b_s = F.array(*[F.lit(b).cast("bigint") for _, b in pairs])
     prime = F.lit(MERSENNE_31).cast("bigint")
-    signature = F.zip_with(
-        a_s, b_s, lambda a, b: F.array_min(F.transform(hashes, lambda h: F.pmod(a * h + b, prime)))
-    )
-    return F.when(F.size(hashes) > 0, signature).otherwise(F.array().cast("array<bigint>"))
+
+    def signature(hs: Column) -> Column:
+        return F.zip_with(a_s, b_s, lambda a, b: F.array_min(F.transform(hs, lambda h: F.pmod(a * h + b, prime))))
+
+    # one-element array: binds the input, which would otherwise be evaluated per position
+    bound = F.transform(F.array(hashes), signature)[0]
+    return F.when(F.size(hashes) > 0, bound).otherwise(F.array().cast("array<bigint>"))
 
 
 def _lower(left: Column, right: Column) -> Column:

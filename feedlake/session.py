@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on at scale. AQE coalesces small shuffle partitions and
 # splits skewed ones in joins; forcing the skew split keeps it when a later
-# operator could have reused the join's partitioning. RocksDB keeps streaming
-# state off the JVM heap.
+# operator could have reused the join's partitioning. The small per-group sets of
+# the sketches fit a hash map well beyond the default of 128 groups, and their rows
+# are small but costly, so few bytes are still worth a task of their own. RocksDB
+# keeps streaming state off the JVM heap.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
