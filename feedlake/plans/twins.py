@@ -385,7 +385,11 @@ FROM documents""",
     "stream_dp_count": _with(
         f"SELECT window_end, location, {_NOISY} FROM counts WHERE {_closed(_VISITS)}", _COUNTS
     ),
-    "stream_similarity": _with(_PAIRS_OF.format("daily"), SIG, _DAILY),
+    "stream_similarity": _with(
+        f"SELECT * FROM ({_PAIRS_OF.format('daily')}) WHERE CAST(window_end AS TIMESTAMP)"
+        " <= (SELECT max(CAST(window_end AS TIMESTAMP)) - INTERVAL '1 minute' FROM prep)",
+        SIG, _DAILY,
+    ),
     "late_drop": _with(
         f"""SELECT window_end, count(*) AS n FROM prep
             WHERE {_closed()} AND (event_type NOT IN ('signup', 'error')

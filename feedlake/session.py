@@ -59,8 +59,9 @@ def spread(df: DataFrame) -> DataFrame:
     shuffle to a large input.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = len(df.inputFiles())
-    return df.repartition(cores) if splits < cores and _few_bytes(df, cores) else df
+    if _few_bytes(df, cores) and len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _few_bytes(df: DataFrame, cores: int) -> bool:

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 # Topics between the jobs.
 RAW, SCHEDULE, STATUS, JOINED = "rail_network", "rtti-schedule", "rtti-ts", "rtti-joined"
-SIGNATURES, SIMILARITY = "rtti-lsh-signature", "rtti-similarity"
-BLOOM, COUNTS = "rtti-bloom", "rtti-dp-location-counts"
+SIGNATURES, SIMILARITY = "rtti-lsh-signature", "rtti-lsh-similarity"
+BLOOM, COUNTS = "rtti-bloomfilter-results", "rtti-dp-location-counts"
 
 TEXT_LINES = T.StructType([T.StructField("value", T.StringType())])
 

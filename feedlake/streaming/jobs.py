@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from feedlake.functions.expressions import estimated_jaccard, window_text
+from feedlake.functions.expressions import window_text
 from feedlake.operators import counts, joins, sketches
 from feedlake.operators.similar import THRESHOLD
 
@@ -81,31 +81,39 @@ def dp_count_stream(joined: DataFrame, secret: str | None = None, **settings) ->
     return counts.dp_noisy_count(count_stream(joined, **settings), secret)
 
 
-def similarity_stream(signatures: DataFrame, threshold: float = THRESHOLD, delay: str = "1 minute") -> DataFrame:
-    """Pairs of one window out of a signature stream, compared as they meet.
+def similarity_stream(
+    signatures: DataFrame, threshold: float = THRESHOLD, delay: str = "1 minute", slices: int = 1
+) -> DataFrame:
+    """Pairs of one window out of a signature stream, given out once the window is closed.
 
-    ``window_end`` is read back as a timestamp and watermarked, so a window's
-    signatures leave the state once no more of its signatures can come.
+    Journeys meet on the (position, value) tokens they share and the meetings of a
+    pair are counted, so journeys with nothing in common are never compared.
+    ``window_end`` is read back as a timestamp and watermarked; tokens and counts
+    leave the state with their window. ``slices`` cuts every token's meeting into a
+    grid of that many parts per side, for feeds with very common features.
     """
-    end = F.to_timestamp("window_end", "yyyy-MM-dd HH:mm:ss.SSS")
-
-    def side(rid: str, sig: str) -> DataFrame:
-        rows = signatures.select(
-            end.alias("ends_at"), F.col("rid").alias(rid), F.col("minhash_signature").alias(sig)
-        )
-        return rows.withWatermark("ends_at", delay)
-
-    met = side("rid1", "s1").join(
-        side("rid2", "s2").withColumnRenamed("ends_at", "ends_at_2"),
-        F.expr("ends_at = ends_at_2 AND rid1 < rid2"),
+    values = F.col("minhash_signature")
+    tokens = F.filter(F.transform(values, lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda t: t["v"].isNotNull())
+    rows = signatures.select(
+        F.to_timestamp("window_end", "yyyy-MM-dd HH:mm:ss.SSS").alias("ends_at"),
+        "rid",
+        F.size(values).alias("n"),
+        F.inline(tokens),
     )
-    scored = met.select(
-        window_text(F.col("ends_at")).alias("window_end"),
-        "rid1",
-        "rid2",
-        estimated_jaccard(F.col("s1"), F.col("s2")).alias("similarity"),
+    keys = ["ends_at", "n", "i", "v", "x", "y"]
+    own = F.pmod(F.xxhash64("rid"), F.lit(slices)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
+
+    def side(name: str, x: Column, y: Column) -> DataFrame:
+        cut = rows.withColumn("x", x).withColumn("y", y).withColumnRenamed("rid", name)
+        return cut.withWatermark("ends_at", delay)
+
+    met = side("rid1", own, every).join(side("rid2", every, own), keys).filter("rid1 < rid2")
+    overlap = met.groupBy("ends_at", "rid1", "rid2", "n").agg(F.count("*").alias("met"))
+    similarity = F.col("met") / F.col("n")
+    return overlap.filter(similarity >= threshold).select(
+        window_text(F.col("ends_at")).alias("window_end"), "rid1", "rid2", similarity.alias("similarity")
     )
-    return scored.filter(F.col("similarity") >= threshold)
 
 
 def to_folder(

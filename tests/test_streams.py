@@ -167,18 +167,22 @@ def test_hot_journey_is_split_by_the_join(spark):
             spark.conf.set(key, value)
 
 
-def test_similarity_stream_equals_batch(spark):
+@pytest.mark.parametrize("slices", [1, 3])
+def test_similarity_stream_equals_batch(spark, slices):
     from feedlake import schemas
     from feedlake.operators.similar import similar_pairs
 
-    rows = [(f"j{k}", f"2025-04-30 12:0{k % 2}:00.000", [k % 3, 1, k % 2, 4]) for k in range(10)]
+    rows = [(f"j{k}", f"2025-04-30 12:0{k % 2}:00.000", [k % 3, 1, None, k % 2, 4]) for k in range(10)]
+    later = [("end", "2025-04-30 13:00:00.000", [0])]
     df = spark.createDataFrame(rows, schemas.SIGNATURE)
     base = work_dir(spark, "sig")
-    df.write.parquet(f"{base}/in")
-    stream = streams.similarity_stream(topics.parquet_stream(spark, f"{base}/in", df.schema), 0.5)
+    df.unionByName(spark.createDataFrame(later, schemas.SIGNATURE)).write.parquet(f"{base}/in")
+    source = topics.parquet_stream(spark, f"{base}/in", df.schema)
+    stream = streams.similarity_stream(source, 0.6, slices=slices)
     streams.drain(stream, f"{base}/out", f"{base}/checkpoint")
     got = spark.read.schema(stream.schema).parquet(f"{base}/out")
-    assert sorted(got.collect()) == sorted(similar_pairs(df, 0.5).collect())
+    want = similar_pairs(df, 0.6).collect()
+    assert sorted(got.collect()) == sorted(want) and want
 
 
 def test_arrival_time(spark):
