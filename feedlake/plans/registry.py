@@ -19,7 +19,7 @@ from feedlake.functions.expressions import estimated_jaccard, feature_string, wi
 from feedlake.functions.hashing import java_hash
 from feedlake.functions.payload import preview
 from feedlake.operators import counts, delays, ingest, joins, keyed, sketches
-from feedlake.operators.similar import similar_pairs
+from feedlake.operators.similar import pair_count, similar_groups, similar_pairs
 from feedlake.operators.validate import validate_feed
 from feedlake.plans import jobs
 from feedlake.session import spread, work_dir
@@ -347,6 +347,12 @@ def similarity_pairs(spark, d):
     return similar_pairs(jobs.signatures(_joined(spark, d), WINDOW), scratch=work_dir(spark, "pairs"))
 
 
+def similarity_groups(spark, d):
+    sig = jobs.signatures(_joined(spark, d), WINDOW)
+    _, pairs = similar_groups(sig, scratch=work_dir(spark, "groups"))
+    return pairs.groupBy("window_end", "similarity").agg(F.sum(pair_count()).alias("n_pairs"))
+
+
 def journey_similarity(spark, d):
     records = _both_records(_prep(spark, d))
     return jobs.journey_similarity(*records, WINDOW, WINDOW, scratch=work_dir(spark, "journeys"))
@@ -542,6 +548,7 @@ QUERIES: dict[str, Query] = {
     "minhash_merge": minhash_merge,
     "jaccard_estimate": jaccard_estimate,
     "similarity_pairs": similarity_pairs,
+    "similarity_groups": similarity_groups,
     "journey_similarity": journey_similarity,
     "bloom_agg": bloom_agg,
     "bloom_merge": bloom_merge,

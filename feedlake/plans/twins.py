@@ -356,6 +356,9 @@ FROM documents""",
         SIG, _DAILY, _OVERALL,
     ),
     "similarity_pairs": _with(_PAIRS_OF.format("daily"), SIG, _DAILY),
+    "similarity_groups": _with(
+        f"SELECT window_end, similarity, count(*) AS n_pairs FROM ({_PAIRS_OF.format('daily')}) GROUP BY ALL", SIG, _DAILY
+    ),
     "journey_similarity": _with(
         _PAIRS_OF.format("joint"),
         _JOINED,

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedlake.functions.hashing import coefficients, java_hash
 from feedlake.operators import sketches
-from feedlake.operators.similar import similar_pairs
+from feedlake.operators.similar import pair_count, similar_groups, similar_pairs
 
 SCHEMA = "rid string, sch_tpl string, ts_tpl string, event_type string"
 ONE = [("r", "PADTLL", "PADTLL", "arr")]
@@ -141,6 +143,18 @@ def test_pairs_of_copies_and_hot_tokens(spark):
             assert _found(spark, rows, threshold, slice_rows=slice_rows) == _brute(rows, threshold)
 
 
+def test_groups_stand_for_the_same_pairs(spark):
+    rows = [("w", f"j{i:02d}", [i % 3, 5, None, i % 4]) for i in range(24)] + [("v", "x", [0, 5, None, 0])]
+    df = spark.createDataFrame(
+        [(r, w, s) for w, r, s in rows], "rid string, window_end string, minhash_signature array<bigint>"
+    )
+    journeys, pairs = similar_groups(df, 0.5)
+    assert journeys.count() == 25 and journeys.select("id1", "id2").distinct().count() == 13
+    got = pairs.groupBy("window_end", "similarity").agg(F.sum(pair_count()).alias("n")).collect()
+    want = Counter((w, s) for w, _, _, s in _brute(rows, 0.5))
+    assert {(r.window_end, r.similarity): r.n for r in got} == want
+
+
 def test_pairs_with_scratch_folder(spark, tmp_path):
     rows = [("w", f"j{i}", [i % 2, 5, i, 6]) for i in range(12)]
     assert _found(spark, rows, 0.5, scratch=str(tmp_path)) == _brute(rows, 0.5)
