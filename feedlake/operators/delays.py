@@ -31,6 +31,31 @@ def clock_difference(later: Column, earlier: Column) -> Column:
     return F.when(gap > HALF_DAY, gap - DAY).when(gap < -HALF_DAY, gap + DAY).otherwise(gap)
 
 
+def latest_plan(schedule: DataFrame) -> DataFrame:
+    """``rid, tpl, planned``: the working times of the latest schedule row per (journey, location)."""
+    times = F.struct("wta", "wtd", "wtp")
+    latest = F.max_by(times, F.struct("event_time", times))
+    return schedule.groupBy("rid", "tpl").agg(latest.alias("planned"))
+
+
+def _reported(ts: DataFrame) -> DataFrame:
+    known = ts.filter("actual_time IS NOT NULL")
+    return known.select("rid", "tpl", "event_time", "event_type", "actual_time")
+
+
+def _measured(met: DataFrame) -> DataFrame:
+    """Delay of reported rows that met their plan."""
+    planned = (
+        F.when(F.col("event_type") == "arr", F.col("planned.wta"))
+        .when(F.col("event_type") == "dep", F.col("planned.wtd"))
+        .when(F.col("event_type") == "pass", F.col("planned.wtp"))
+    )
+    any_time = F.coalesce("planned.wta", "planned.wtd", "planned.wtp")
+    delay = clock_difference(F.col("actual_time"), F.coalesce(planned, any_time))
+    rows = met.select("rid", "tpl", "event_time", delay.alias("delay"))
+    return rows.filter(F.col("delay").isNotNull())
+
+
 def delay_calc(schedule: DataFrame, ts: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """``rid, tpl, event_time, delay`` (minutes) for every status row with a scheduled time.
 
@@ -39,26 +64,15 @@ def delay_calc(schedule: DataFrame, ts: DataFrame, heavy_rows: int = HEAVY_ROWS)
     multiply, and the reduction combines on the map side. Status rows of a very
     busy (journey, location) are spread over several tasks.
     """
-    times = F.struct("wta", "wtd", "wtp")
-    state = schedule.groupBy("rid", "tpl").agg(
-        F.max_by(times, F.struct("event_time", times)).alias("planned")
-    )
-    planned = (
-        F.when(F.col("event_type") == "arr", F.col("planned.wta"))
-        .when(F.col("event_type") == "dep", F.col("planned.wtd"))
-        .when(F.col("event_type") == "pass", F.col("planned.wtp"))
-    )
-    fallback = F.coalesce("planned.wta", "planned.wtd", "planned.wtp")
-    reported = F.col("actual_time")
-    delay = clock_difference(reported, F.coalesce(planned, fallback))
-    keys = ["rid", "tpl"]
-    rows = ts.select(*keys, "event_time", "event_type", "actual_time").filter("actual_time IS NOT NULL")
-    salt = ["event_time", "event_type", "actual_time"]
-    return (
-        join_to_unique(rows, state, keys, heavy_keys(rows, keys, heavy_rows), salt, limit=heavy_rows)
-        .select("rid", "tpl", "event_time", delay.alias("delay"))
-        .filter(F.col("delay").isNotNull())
-    )
+    keys, salt = ["rid", "tpl"], ["event_time", "event_type", "actual_time"]
+    rows = _reported(ts)
+    heavy = heavy_keys(rows, keys, heavy_rows)
+    return _measured(join_to_unique(rows, latest_plan(schedule), keys, heavy, salt, limit=heavy_rows))
+
+
+def delays_against(plan: DataFrame, ts: DataFrame) -> DataFrame:
+    """:func:`delay_calc` for a status stream against a table made by :func:`latest_plan`."""
+    return _measured(_reported(ts).join(plan, ["rid", "tpl"]))
 
 
 def delay_vector(delays: DataFrame, length: int = VECTOR_LENGTH) -> DataFrame:
@@ -107,6 +121,41 @@ def running_delay_vector(
     return vectors.filter("own").select("rid", "tpl", "event_time", "delay", "delays")
 
 
+def _fold_vectors(length: int):
+    """State step of :func:`delay_vector_stream`: merge new rows into the kept ones."""
+
+    def step(key, batches, state):
+        kept = pd.DataFrame({"at": [], "tpl": [], "delay": []})
+        if state.exists:
+            at, tpl, delay = state.get
+            kept = pd.DataFrame({"at": list(at), "tpl": list(tpl), "delay": list(delay)})
+        for batch in batches:
+            both = pd.concat([kept, batch[["at", "tpl", "delay"]]]) if len(kept) else batch[["at", "tpl", "delay"]]
+            kept = both.sort_values(["at", "tpl", "delay"]).tail(length)
+        at, tpl, delay = (kept[c].tolist() for c in ("at", "tpl", "delay"))
+        state.update(([int(x) for x in at], tpl, delay))
+        yield pd.DataFrame({"rid": [key[0]], "at": [int(at[-1])], "delays": [delay]})
+
+    return step
+
+
+def delay_vector_stream(delays: DataFrame, length: int = VECTOR_LENGTH) -> DataFrame:
+    """:func:`delay_vector` on a stream: per micro-batch, the new vector of each journey it touched.
+
+    The state of a journey is its last ``length`` rows, so late rows fall into place.
+    Rows arrive batch by batch and are folded, never gathered.
+    """
+    rows = delays.select("rid", F.unix_micros("event_time").alias("at"), "tpl", "delay")
+    vectors = rows.groupBy("rid").applyInPandasWithState(
+        _fold_vectors(length),
+        "rid string, at bigint, delays array<double>",
+        "at array<bigint>, tpl array<string>, delay array<double>",
+        "append",
+        "NoTimeout",
+    )
+    return vectors.select("rid", "delays", F.timestamp_micros("at").alias("event_time"))
+
+
 def _last(items: Column, count: int) -> Column:
     start = F.greatest(F.size(items) - count + 1, F.lit(1))
     return F.slice(items, start, count)

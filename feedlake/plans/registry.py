@@ -468,6 +468,14 @@ def delay_vector(spark, d):
     return delays.delay_vector(_delays(spark, d)).select("rid", *_vector_columns("delays"))
 
 
+def stream_delay_vector(spark, d):
+    plan = delays.latest_plan(ev.schedule_side(_prep(spark, d)))
+    late = delays.delays_against(plan, ev.status_side(_prep_stream(spark, d)))
+    out = _drained(spark, delays.delay_vector_stream(late), "vectors")
+    newest = out.groupBy("rid").agg(F.max_by("delays", F.struct("event_time", F.size("delays"))).alias("delays"))
+    return newest.select("rid", *_vector_columns("delays"))
+
+
 def running_delay_vector(spark, d):
     rows = delays.running_delay_vector(_delays(spark, d), chunk="6 hours")
     return rows.select(
@@ -561,6 +569,7 @@ QUERIES: dict[str, Query] = {
     "stream_dp_count": stream_dp_count,
     "stream_similarity": stream_similarity,
     "late_drop": late_drop,
+    "stream_delay_vector": stream_delay_vector,
     "delay_calc": delay_calc,
     "delay_vector": delay_vector,
     "running_delay_vector": running_delay_vector,

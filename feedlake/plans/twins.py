@@ -61,11 +61,6 @@ def _hash(text: str) -> str:
     return f"(({folded} + 2147483648) % 4294967296 - 2147483648)"
 
 
-def _signed(text: str) -> str:
-    """Same value with the sign folded, for text known to be non-empty."""
-    return _hash(text)
-
-
 def _pairs(name: str, count: int, seed: int) -> str:
     rows = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(coefficients(count, seed)))
     return f"{name}(i, a, b) AS (SELECT CAST(i AS BIGINT), CAST(a AS BIGINT), CAST(b AS BIGINT) FROM (VALUES {rows}) AS t(i, a, b))"
@@ -82,7 +77,7 @@ BLO = _pairs("blo", FILTER_HASHES, FILTER_SEED)
 def _minima(source: str, features: str, keys: str, name: str) -> str:
     """CTEs: distinct features of ``source`` hashed, then minima per key and position as ``name``."""
     return f"""
-{name}_h AS (SELECT {keys}, {_signed('f')} AS h FROM (SELECT DISTINCT {keys}, {features} AS f FROM {source})),
+{name}_h AS (SELECT {keys}, {_hash('f')} AS h FROM (SELECT DISTINCT {keys}, {features} AS f FROM {source})),
 {name} AS (SELECT {keys}, i, min({_mod('a * h + b', MERSENNE_31)}) AS v FROM {name}_h, sig GROUP BY {keys}, i)"""
 
 
@@ -111,15 +106,11 @@ _LOCATION = "CASE WHEN event_type <> 'error' THEN tpl END"
 
 def _bloom(source: str, keys: str, element: str, name: str) -> str:
     """CTEs: per key the list of set bits, then the Base64 text, as ``name``."""
-    bytes_hex = (
-        "list_aggregate(list_transform(range(64), lambda i: printf('%02X', CAST(list_sum(list_transform("
-        "list_filter(bits, lambda p: p // 8 = i), lambda p: 1 << (p % 8))) AS INTEGER))), 'string_agg', '')"
-    )
     return f"""
 {name}_e AS (SELECT DISTINCT {keys}, {element} AS e FROM {source}),
 {name}_b AS (
   SELECT {keys}, list(DISTINCT p) FILTER (WHERE p IS NOT NULL) AS bits
-  FROM (SELECT {keys}, CASE WHEN e IS NOT NULL THEN {_mod(f"a * {_signed('coalesce(e, chr(48))')} + b", FILTER_BITS)} END AS p
+  FROM (SELECT {keys}, CASE WHEN e IS NOT NULL THEN {_mod(f"a * {_hash('coalesce(e, chr(48))')} + b", FILTER_BITS)} END AS p
         FROM {name}_e, blo) GROUP BY {keys}),
 {name}_t AS (SELECT {keys}, bits, {_bytes('bits')} AS hex FROM {name}_b),
 {name} AS (SELECT {keys}, bits, to_base64(unhex(regexp_replace(hex, '^((?:..)*?)(?:00)+$', '\\1'))) AS bloom_filter_base64 FROM {name}_t)"""
@@ -371,8 +362,8 @@ FROM documents""",
     ),
     "bloom_might_contain": _with(
         f"""SELECT event_id,
-            bool_and(list_contains(coalesce(bits, []), {_mod(f"a * {_signed('tpl')} + b", FILTER_BITS)})) AS has_tpl,
-            bool_and(list_contains(coalesce(bits, []), {_mod(f"a * {_signed('zone')} + b", FILTER_BITS)})) AS has_zone
+            bool_and(list_contains(coalesce(bits, []), {_mod(f"a * {_hash('tpl')} + b", FILTER_BITS)})) AS has_tpl,
+            bool_and(list_contains(coalesce(bits, []), {_mod(f"a * {_hash('zone')} + b", FILTER_BITS)})) AS has_zone
             FROM prep JOIN bl USING (rid, window_end), blo GROUP BY event_id""",
         BLO, _BLOOM,
     ),
@@ -403,6 +394,7 @@ FROM documents""",
         f"SELECT rid, tpl, strftime(ts, {_STAMP}) AS event_time, round(delay, 6) AS delay FROM delays", _DELAYS
     ),
     "delay_vector": _with(f"SELECT rid, {_VECTOR_COLUMNS} FROM vectors", _DELAYS, _VECTORS),
+    "stream_delay_vector": _with(f"SELECT rid, {_VECTOR_COLUMNS} FROM vectors", _DELAYS, _VECTORS),
     "running_delay_vector": _with(
         f"SELECT rid, tpl, strftime(ts, {_STAMP}) AS event_time, {_VECTOR_COLUMNS} FROM running",
         _DELAYS,

@@ -185,6 +185,22 @@ def test_similarity_stream_equals_batch(spark, slices):
     assert sorted(got.collect()) == sorted(want) and want
 
 
+def test_delay_vector_stream_over_several_batches(spark):
+    from feedlake.operators import delays
+
+    schema = "rid string, tpl string, event_time timestamp, delay double"
+    feed = Feed(spark, schema)
+    rows = [(f"j{k % 3}", f"T{k}", _at((k * 37) % 500), float(k)) for k in range(40)]
+    for part in (rows[:15], rows[15:18], rows[18:]):
+        feed.deliver(part)
+        out = feed.drained(delays.delay_vector_stream(feed.stream()))
+    final = {}
+    for r in sorted(out.collect(), key=lambda r: (r.event_time, len(r.delays))):
+        final.setdefault(r.rid, []).append(r.delays)
+    batch = {r.rid: r.delays for r in delays.delay_vector(spark.createDataFrame(rows, schema)).collect()}
+    assert all(batch[rid] in seen for rid, seen in final.items()) and set(final) == set(batch)
+
+
 def test_arrival_time(spark):
     feed = Feed(spark, JOINED)
     feed.deliver(_visits())
