@@ -6,10 +6,10 @@ from compare import difference
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.registry.QUERIES) == set(entry.twins.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.registry.QUERIES))
 def test_same_rows(spark, small, name):
     assert difference(spark, entry.queries()[name], entry.oracle_sql()[name], small) is None
 
