@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.llm import packing, token_counts
+from feedlake.llm import decontam, jaccard, packing, sql_twins, token_counts
 from feedlake.llm.store import new_path
 
 
@@ -12,6 +12,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_jaccard_components(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op8_decontaminate(spark, sf_dir):
+    return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_pack_sequences(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -21,5 +29,5 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"))
 
 
-QUERIES = {f.__name__: f for f in (op7_pack_sequences, op10_token_counts)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op6_jaccard_components, op7_pack_sequences, op8_decontaminate, op10_token_counts)}
+ORACLES = {"op8_decontaminate": sql_twins.DECONTAMINATE}
