@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.llm import decontam, jaccard, packing, sql_twins, token_counts
+from feedlake.llm import decontam, jaccard, packing, pii, sql_twins, token_counts
 from feedlake.llm.store import new_path
 
 
@@ -24,10 +24,14 @@ def op7_pack_sequences(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_pii_spans(spark, sf_dir):
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark, sf_dir):
     """Each call starts from an empty cache, so that its time is that of encoding everything."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"))
 
 
-QUERIES = {f.__name__: f for f in (op6_jaccard_components, op7_pack_sequences, op8_decontaminate, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op6_jaccard_components, op7_pack_sequences, op8_decontaminate, op9_pii_spans, op10_token_counts)}
 ORACLES = {"op8_decontaminate": sql_twins.DECONTAMINATE}
