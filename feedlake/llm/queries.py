@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.llm import decontam, jaccard, packing, pii, sql_twins, token_counts
+from feedlake.llm import decontam, jaccard, packing, pii, sql_twins, token_counts, toxicity
 from feedlake.llm.store import new_path
 
 
@@ -12,6 +12,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_jaccard_components(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -33,5 +37,5 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"))
 
 
-QUERIES = {f.__name__: f for f in (op6_jaccard_components, op7_pack_sequences, op8_decontaminate, op9_pii_spans, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op6_jaccard_components, op7_pack_sequences, op8_decontaminate, op9_pii_spans, op10_token_counts)}
 ORACLES = {"op8_decontaminate": sql_twins.DECONTAMINATE}

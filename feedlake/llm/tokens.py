@@ -47,7 +47,7 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
 
 
-class _Memory(dict):
+class Memory(dict):
     """Values of keys, computed when first asked for and kept while there is room."""
 
     def __init__(self, make: Callable[[str], object], room: int):
@@ -70,8 +70,8 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = _Memory(self._piece, memory)
-        self.known = _Memory(lambda chunk: self.join([self.pieces[p] for p in self.split(chunk)]), memory)
+        self.pieces = Memory(self._piece, memory)
+        self.known = Memory(lambda chunk: self.join([self.pieces[p] for p in self.split(chunk)]), memory)
 
     def encode(self, text: str):
         if UNUSUAL(text) or any(s in text for s in self.special):
