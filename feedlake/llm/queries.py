@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.llm import decontam, html_text, jaccard, packing, pii, sql_twins, token_counts, toxicity
+from feedlake.llm import decontam, html_text, jaccard, neighbours, packing, pii, sql_twins, token_counts, toxicity
 from feedlake.llm.store import new_path
 
 
@@ -20,6 +20,10 @@ def op3_extract_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_nearest(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op6_jaccard_components(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -41,5 +45,5 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_extract_text, op6_jaccard_components, op7_pack_sequences, op8_decontaminate, op9_pii_spans, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_extract_text, op4_nearest, op6_jaccard_components, op7_pack_sequences, op8_decontaminate, op9_pii_spans, op10_token_counts)}
 ORACLES = {"op8_decontaminate": sql_twins.DECONTAMINATE}
