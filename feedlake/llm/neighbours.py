@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from feedlake.llm.store import settle
 
 CURVES, AXES, BITS = 16, 3, 6
-USED = 5
+USED = 6
 WINDOW = 0.25
 #: Blocks per curve at least, rows per block and queries per slice at most (about).
 LEAST_BLOCKS, BLOCK_ROWS, SLICE_QUERIES = 20, 8192, 2048

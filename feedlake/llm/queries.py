@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.llm import decontam, html_text, jaccard, neighbours, packing, pii, sql_twins, token_counts, toxicity
+from feedlake.llm import decontam, html_text, jaccard, langid, neighbours, packing, pii, sql_twins, token_counts, toxicity
 from feedlake.llm.store import new_path
 
 
@@ -24,6 +24,15 @@ def op4_nearest(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op5_language_id(spark, sf_dir):
+    return langid.identify_documents(table(spark, sf_dir, "documents"))
+
+
+def page_languages(spark, sf_dir):
+    """The same operator where there is markup and an address."""
+    return langid.identify_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_jaccard_components(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -45,5 +54,5 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_extract_text, op4_nearest, op6_jaccard_components, op7_pack_sequences, op8_decontaminate, op9_pii_spans, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_extract_text, op4_nearest, op5_language_id, page_languages, op6_jaccard_components, op7_pack_sequences, op8_decontaminate, op9_pii_spans, op10_token_counts)}
 ORACLES = {"op8_decontaminate": sql_twins.DECONTAMINATE}
