@@ -1,24 +1,87 @@
-"""Corpus pipeline: documents through the text operators, each stage written and read again."""
+"""Corpus pipeline: documents through the text operators, each stage written and read again.
+
+Stages before the last return the columns of ``documents``. A document leaves when its
+language can't be told, when it is a copy or near copy of one with a smaller id, or
+when it holds a passage of the benchmark; personal data in the texts that stay is
+masked, and the last stage packs them into sequences. A document without an id can be
+told from no other, so no stage removes it for what it shares with others.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedlake.llm import packing
+from feedlake.llm import decontam, jaccard, langid, packing, pii
 from feedlake.llm.store import settle
 
+#: Ids that may be broadcast to find the documents they belong to; more are joined by shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` but those with one of the ids."""
+    ids = settle(ids.select(F.col("doc_id").alias("gone")).where("gone IS NOT NULL").distinct(), "dropped-ids")
+    if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, docs["doc_id"] == ids["gone"], "left_anti")
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with an accepted language, which replaces what they declared."""
+    found = settle(langid.identify_documents(docs), "languages")
+    # Mostly what was declared stands, so only the few others are carried over.
+    other = found.where("accepted AND NOT language <=> declared").select(F.col("doc_id").alias("id"), "language")
+    other = settle(other.where("id IS NOT NULL").groupBy("id").agg(F.min("language").alias("language")), "relabelled")
+    if other.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        other = F.broadcast(other)
+    kept = _without(docs, found.where("NOT accepted"))
+    kept = kept.join(other, kept["doc_id"] == other["id"], "left").withColumn("lang", F.coalesce("language", "lang"))
+    return kept.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones: that with the smallest id."""
+    groups = settle(jaccard.jaccard_components(docs), "groups")
+    kept = _without(docs, groups.where("component_id <> doc_id"))
+    repeated = groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
+    return kept if repeated.isEmpty() else kept.where("doc_id IS NULL").unionByName(
+        kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    )
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _without(docs, decontam.decontaminate(docs, benchmark).where("contaminated"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data masked; ``n_chars`` follows the text."""
+    masked = pii.mask_pii(docs)
+    n_chars = F.coalesce(F.length("text"), F.col("n_chars"))
+    return masked.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, placed in sequences."""
     return packing.pack(docs)
 
 
-STAGES = [("best-fit packing", pack_sequences)]
+STAGES = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("PII", mask_personal_data),
+    ("best-fit packing", pack_sequences),
+]
 
-#: Packing isn't expressible in SQL.
+#: Language ID, PII and packing aren't expressible in SQL; the pipeline is tested stage by stage.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-"))
