@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlake.llm import decontam, html_text, jaccard, langid, neighbours, packing, pii, sql_twins, token_counts, toxicity
+from feedlake.llm import decontam, html_text, jaccard, langid, neighbours, packing, passages, pii, sql_twins, token_counts, toxicity
 from feedlake.llm.store import new_path
 
 
@@ -16,6 +16,10 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_shared_passages(spark, sf_dir):
+    return passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_extract_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -54,5 +58,5 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_extract_text, op4_nearest, op5_language_id, page_languages, op6_jaccard_components, op7_pack_sequences, op8_decontaminate, op9_pii_spans, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_shared_passages, op3_extract_text, op4_nearest, op5_language_id, page_languages, op6_jaccard_components, op7_pack_sequences, op8_decontaminate, op9_pii_spans, op10_token_counts)}
 ORACLES = {"op8_decontaminate": sql_twins.DECONTAMINATE}

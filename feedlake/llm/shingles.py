@@ -19,7 +19,7 @@ _LETTERS[ord("A") : ord("Z") + 1] = _LETTERS[ord("a") : ord("z") + 1]
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _BASE = int(_RANDOM.integers(0, 2**63)) * 8 + 5  # odd, so that it can be divided by
 _BASE &= 2**64 - 1
-_STEP = [np.uint64(int(x) | 1) for x in _RANDOM.integers(0, 2**63, WORDS)]
+_STEP = [np.uint64(int(x) | 1) for x in _RANDOM.integers(0, 2**63, 16)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -57,22 +57,31 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return hashes, counts
 
 
-def sets(texts: pa.Array, piece: int = 500_000) -> Iterator[np.ndarray]:
-    """The shingle set of each text, in order; null is an empty text. ``piece`` bytes are worked on at a time."""
+def pieces(texts: pa.Array, size: int = 500_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Word hashes of some texts at a time (about ``size`` bytes): the first one's place, the hashes, words per text."""
     column = texts.cast(pa.large_binary()).fill_null(b"")
     n = len(column)
     bounds = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + n + 1]
     data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
     i = 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + piece, side="right")) - 1)
-        own = data[bounds[i] : bounds[j]]
-        hashes, counts = word_hashes(own, bounds[i : j + 1] - bounds[i])
-        shingles = hashes[: max(0, len(hashes) - WORDS + 1)] * _STEP[0]
-        for k in range(1, WORDS):
-            shingles = shingles + hashes[k : k + len(shingles)] * _STEP[k]
-        shingles = mix(shingles)
-        at = 0
+        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + size, side="right")) - 1)
+        yield i, *word_hashes(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])
+        i = j
+
+
+def runs(hashes: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each run of ``length`` words."""
+    out = hashes[: max(0, len(hashes) - length + 1)] * _STEP[0]
+    for k in range(1, length):
+        out = out + hashes[k : k + len(out)] * _STEP[k]
+    return mix(out)
+
+
+def sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The shingle set of each text, in order; null is an empty text."""
+    for _, hashes, counts in pieces(texts):
+        shingles, at = runs(hashes, WORDS), 0
         for count in counts.tolist():
             if count >= WORDS:
                 yield np.unique(shingles[at : at + count - WORDS + 1])
@@ -84,4 +93,3 @@ def sets(texts: pa.Array, piece: int = 500_000) -> Iterator[np.ndarray]:
             else:
                 yield np.zeros(0, dtype=np.uint64)
             at += count
-        i = j
