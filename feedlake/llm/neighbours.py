@@ -32,8 +32,8 @@ from feedlake.llm.store import settle
 CURVES, AXES, BITS = 16, 3, 6
 USED = 6
 WINDOW = 0.25
-#: Blocks per curve at least, rows per block and queries per slice at most (about).
-LEAST_BLOCKS, BLOCK_ROWS, SLICE_QUERIES = 20, 8192, 2048
+#: Blocks per curve, if they then hold LEAST_ROWS each; rows per block and queries per slice at most (about).
+BLOCKS, LEAST_ROWS, BLOCK_ROWS, SLICE_QUERIES = 20, 64, 8192, 2048
 #: Vectors that centre, scale and block boundaries are fitted on, at most.
 SAMPLE = 20_000
 
@@ -145,9 +145,9 @@ def nearest(
 
     curves = Curves(size, longest)
     sample = points.orderBy(F.xxhash64("point")).limit(SAMPLE).select("vector").toArrow()
-    blocks = max(LEAST_BLOCKS, ceil(n / BLOCK_ROWS))
+    blocks = max(1, min(BLOCKS, n // LEAST_ROWS), ceil(n / BLOCK_ROWS))
     curves.fit(matrix(sample.column(0).combine_chunks(), size), blocks)
-    reach = ceil((WINDOW * blocks - 1) / 2)
+    reach = max(0, ceil((WINDOW * blocks - 1) / 2))
     asking = members.where(F.col("id") % every == 0).select("point").distinct()
     slices = max(1, ceil(asking.count() * (2 * reach + 1) * USED / (CURVES * blocks * SLICE_QUERIES)))
     shared = spark.sparkContext.broadcast(curves)
