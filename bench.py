@@ -1,6 +1,7 @@
 """Time the headline queries and print one JSON line.
 
-``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the cores; names given as
+``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the cores, ``BENCH_SHARED_DIR`` the
+folder for intermediate tables (else a new temporary one); names given as
 arguments replace the headline list. Each query runs once to the end, into a sink
 that discards its rows.
 """
@@ -10,13 +11,14 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from feedlake.plans.registry import QUERIES
 from feedlake.session import build_session
 
 HEADLINE = (
-    "decode_payload",
+    "feed_pipeline",
     "flatten_ts",
     "flatten_schedule",
     "parse_keyed_json",
@@ -41,10 +43,12 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    shared = os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-")
     spark = build_session(
         "bench",
         f"local[{cpus}]",
         **{
+            "spark.checkpoint.dir": f"file://{os.path.abspath(shared)}",
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "12g",
             "spark.ui.enabled": "false",

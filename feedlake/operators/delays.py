@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.functions.hashing import coefficients
 from feedlake.functions.noise import add_laplace_noise, keyed_uniform
-from feedlake.operators.skew import HEAVY_ROWS, heavy_keys, join_to_unique
 
 VECTOR_LENGTH = 5
 HALF_DAY, DAY = 720.0, 1440.0
+# Delays are clipped to this many minutes either way before a private release.
+DELAY_BOUND = 120.0
 
 
 def clock_minutes(text: Column) -> Column:
@@ -39,8 +39,10 @@ def latest_plan(schedule: DataFrame) -> DataFrame:
 
 
 def _reported(ts: DataFrame) -> DataFrame:
-    known = ts.filter("actual_time IS NOT NULL")
-    return known.select("rid", "tpl", "event_time", "event_type", "actual_time")
+    """Status rows with a time: the actual one, else the forecast."""
+    forecast = F.col("forecast_time") if "forecast_time" in ts.columns else F.lit(None).cast("string")
+    reported = F.coalesce("actual_time", forecast).alias("reported_time")
+    return ts.select("rid", "tpl", "event_time", "event_type", reported).filter("reported_time IS NOT NULL")
 
 
 def _measured(met: DataFrame) -> DataFrame:
@@ -51,23 +53,21 @@ def _measured(met: DataFrame) -> DataFrame:
         .when(F.col("event_type") == "pass", F.col("planned.wtp"))
     )
     any_time = F.coalesce("planned.wta", "planned.wtd", "planned.wtp")
-    delay = clock_difference(F.col("actual_time"), F.coalesce(planned, any_time))
+    delay = clock_difference(F.col("reported_time"), F.coalesce(planned, any_time))
     rows = met.select("rid", "tpl", "event_time", delay.alias("delay"))
     return rows.filter(F.col("delay").isNotNull())
 
 
-def delay_calc(schedule: DataFrame, ts: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def delay_calc(schedule: DataFrame, ts: DataFrame) -> DataFrame:
     """``rid, tpl, event_time, delay`` (minutes) for every status row with a scheduled time.
 
+    The delay is that of the actual time, or of the forecast where there is none yet.
     The schedule is first reduced to its latest row per (journey, location), so each
     status row meets at most one: a location repeated in both streams cannot
-    multiply, and the reduction combines on the map side. Status rows of a very
-    busy (journey, location) are spread over several tasks.
+    multiply, and the reduction combines on the map side. Each side is read once;
+    adaptive execution splits the status rows of a very busy (journey, location).
     """
-    keys, salt = ["rid", "tpl"], ["event_time", "event_type", "actual_time"]
-    rows = _reported(ts)
-    heavy = heavy_keys(rows, keys, heavy_rows)
-    return _measured(join_to_unique(rows, latest_plan(schedule), keys, heavy, salt, limit=heavy_rows))
+    return _measured(_reported(ts).join(latest_plan(schedule), ["rid", "tpl"]))
 
 
 def delays_against(plan: DataFrame, ts: DataFrame) -> DataFrame:
@@ -171,61 +171,39 @@ def planes(count: int, dimensions: int, seed: int = 42) -> list[list[float]]:
 def lsh_bucket(vector: Column, normals: Sequence[Sequence[float]]) -> Column:
     """Bucket id: for each plane 1 if the vector lies on or above it, else 0.
 
-    A vector shorter than the planes counts as padded with zeros. Short vectors are
-    plain arithmetic; wide ones go through Arrow as one matrix product per batch.
+    Missing components, at the end or NULL, count as zero; components beyond the
+    planes' width don't count. Any width takes the same path.
     """
-    if len(normals[0]) > 16:
-        return _wide_bucket(normals)(vector)
 
     def side(normal: Sequence[float]) -> Column:
-        terms = [F.coalesce(F.get(vector, F.lit(i)), F.lit(0.0)) * c for i, c in enumerate(normal)]
-        dot = terms[0]
-        for term in terms[1:]:
-            dot = dot + term
-        return F.when(dot >= 0, "1").otherwise("0")
+        weights = F.array(*[F.lit(float(c)) for c in normal])
+        nothing = F.lit(0.0)
+        products = F.zip_with(vector, weights, lambda v, c: F.coalesce(v.cast("double"), nothing) * F.coalesce(c, nothing))
+        return F.when(F.aggregate(products, nothing, lambda total, p: total + p) >= 0, "1").otherwise("0")
 
     return F.when(vector.isNotNull(), F.concat(*[side(n) for n in normals]))
 
 
-def _wide_bucket(normals: Sequence[Sequence[float]]):
-    matrix = np.array(normals, dtype="float64").T
+def dp_moments(sums: DataFrame, secret: str | None = None, bound: float = DELAY_BOUND, epsilon: float = 1.0) -> DataFrame:
+    """``bucket, noisy_n, noisy_mean, noisy_variance`` from ``bucket, n, total, squares`` of clipped delays.
 
-    @F.pandas_udf("string")
-    def bucket(vectors: pd.Series) -> pd.Series:
-        known = vectors.notna()
-        out = pd.Series([None] * len(vectors), dtype="object", index=vectors.index)
-        if known.any():
-            width = matrix.shape[0]
-            rows = np.stack([np.pad(v[:width], (0, max(0, width - len(v)))) for v in vectors[known]])
-            above = (rows.astype("float64") @ matrix) >= 0
-            out[known] = ["".join("1" if bit else "0" for bit in row) for row in above]
-        return out
-
-    return bucket
-
-
-def bucket_moments(df: DataFrame, value: str = "delay") -> DataFrame:
-    """Count, mean and population variance per bucket (sums combine on the map side)."""
-    return df.groupBy("bucket").agg(
-        F.count(value).alias("n"), F.avg(value).alias("mean"), F.var_pop(value).alias("variance")
-    )
-
-
-def dp_moments(
-    moments: DataFrame,
-    secret: str | None = None,
-    mean_sensitivity: float = 1.0,
-    variance_sensitivity: float = 1.0,
-    epsilon: float = 1.0,
-) -> DataFrame:
-    """``bucket, n`` with Laplace noise on mean and variance."""
+    One delay changes the count by 1, the sum by at most ``bound`` and the sum of squares
+    by at most ``bound`` squared. Each of the three gets Laplace noise for a third of
+    ``epsilon``; mean and variance are computed from the noisy sums alone and held
+    within what clipped delays can give.
+    """
 
     def noisy(column: str, sensitivity: float) -> Column:
         uniform = keyed_uniform(secret, F.col("bucket"), F.lit(column)) if secret else None
-        return add_laplace_noise(F.col(column), sensitivity, epsilon, uniform).alias(f"noisy_{column}")
-
-    return moments.select(
-        "bucket", "n", noisy("mean", mean_sensitivity), noisy("variance", variance_sensitivity)
+        return add_laplace_noise(F.col(column), sensitivity, epsilon / 3, uniform).alias(column)
+
+    limits = {"n": 1.0, "total": bound, "squares": bound * bound}
+    drawn = sums.select("bucket", *[noisy(c, s) for c, s in limits.items()])
+    count = F.greatest(F.col("n"), F.lit(1.0))
+    mean = F.greatest(F.lit(-bound), F.least(F.lit(bound), F.col("total") / count))
+    variance = F.greatest(F.lit(0.0), F.least(F.lit(bound * bound), F.col("squares") / count - mean * mean))
+    return drawn.select(
+        "bucket", F.col("n").alias("noisy_n"), mean.alias("noisy_mean"), variance.alias("noisy_variance")
     )
 
 

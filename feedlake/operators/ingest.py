@@ -186,12 +186,41 @@ def flatten_schedule(routed: DataFrame) -> DataFrame:
     )
 
 
+def snapshot_target() -> Column:
+    """Where a flattened row goes: updates to the topic, snapshots to their log."""
+    return F.when(F.col("container") == "sR", "snapshot_log").otherwise("topic")
+
+
 def snapshot_split(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(updates, snapshots) of flattened rows: only updates go on to the topics."""
-    is_snapshot = F.col("container") == "sR"
+    """(updates, snapshots) of flattened rows: only updates go on to the topics.
+
+    Each of the two parses its input anew; to count or write both, add
+    :func:`snapshot_target` as a column and do it in one pass.
+    """
+    is_snapshot = snapshot_target() == "snapshot_log"
     return flat.filter(~is_snapshot).drop("container"), flat.filter(is_snapshot).drop("container")
 
 
+def message_headers(records: DataFrame) -> DataFrame:
+    """``message_type, pp_sequence, processing_ts, payload`` of topic records with their headers.
+
+    ``headers`` is the array of (key, binary value) pairs that a topic source gives
+    with ``includeHeaders``; of a repeated key the last one counts. The receipt time is
+    the record's ``timestamp``, in epoch seconds.
+    """
+
+    def header(name: str) -> Column:
+        own = F.filter("headers", lambda h: h["key"] == name)
+        return F.decode(F.try_element_at(own, F.lit(-1))["value"], "UTF-8")
+
+    return records.select(
+        header("MessageType").alias("message_type"),
+        header("PushPortSequence").alias("pp_sequence"),
+        (F.unix_micros("timestamp") / F.lit(1e6)).alias("processing_ts"),
+        F.col("value").alias("payload"),
+    )
+
+
 def schedule_origin(parsed: DataFrame) -> DataFrame:
     """Journey id and origin point of every schedule (NULLs when it has no origin)."""
     plans = parsed.select(F.explode(F.coalesce(F.col("doc.uR.schedule"), F.col("doc.sR.schedule"))).alias("s"))

@@ -16,28 +16,15 @@ SIGNATURE_LENGTH, SIGNATURE_SEED = 128, 42
 FILTER_BITS, FILTER_HASHES, FILTER_SEED = 512, 7, 123
 
 FEATURE_COLUMNS = ("sch_tpl", "ts_tpl", "event_type")
-# A group's distinct 32-bit feature hashes are gathered in this many slices, so one
-# slice can never hold more than 2^32 / 256 of them, however hot the group is.
-HASH_SLICES = 256
 
-
-def signature_of(hashes: Column, length: int = SIGNATURE_LENGTH, seed: int = SIGNATURE_SEED) -> Column:
-    """MinHash signature of an ARRAY<BIGINT> of feature hashes; empty for an empty array."""
-    pairs = coefficients(length, seed)
-    a_s = F.array(*[F.lit(a).cast("bigint") for a, _ in pairs])
-    b_s = F.array(*[F.lit(b).cast("bigint") for _, b in pairs])
-    prime = F.lit(MERSENNE_31).cast("bigint")
-
-    def signature(hs: Column) -> Column:
-        return F.zip_with(a_s, b_s, lambda a, b: F.array_min(F.transform(hs, lambda h: F.pmod(a * h + b, prime))))
-
-    # one-element array: binds the input, which would otherwise be evaluated per position
-    bound = F.transform(F.array(hashes), signature)[0]
-    return F.when(F.size(hashes) > 0, bound).otherwise(F.array().cast("array<bigint>"))
-
-
-def _lower(left: Column, right: Column) -> Column:
-    return F.zip_with(left, right, lambda x, y: F.least(x, y))
+def _minima(hashed: DataFrame, keys: Sequence[str | Column], length: int, seed: int) -> DataFrame:
+    """The least universal hash of ``_h`` per group and position: constant state, combined on the map side."""
+    names = [f"m{i}" for i in range(length)]
+    pairs = zip(names, coefficients(length, seed))
+    minima = [F.min(universal_hash(F.col("_h"), a, b, MERSENNE_31)).alias(n) for n, (a, b) in pairs]
+    grouped = hashed.groupBy(*keys).agg(*minima)
+    kept = [c for c in grouped.columns if c not in names]
+    return grouped.select(*kept, F.array(*names).alias("minhash_signature"))
 
 
 def minhash_signature(
@@ -49,31 +36,12 @@ def minhash_signature(
 ) -> DataFrame:
     """One signature per group of ``keys`` over the distinct features of its rows.
 
-    Duplicates go before the first shuffle, which moves 8-byte hashes instead of
-    1 KB partial signatures. A slice of a big group is reduced to a signature where
-    it lies, so the second shuffle never moves more than ``length`` numbers per
-    slice and the final step sees at most ``HASH_SLICES`` of them.
+    Repeated features go first, in a shuffle of 8-byte hashes that spreads a hot group
+    by its features; the minima of what is left need ``length`` numbers per group and
+    task, whatever the group's size.
     """
-    hashed = df.select(*keys, java_hash(feature_string(*[F.col(f) for f in features])).alias("h"))
-    sliced = (
-        hashed.withColumn("slice", F.pmod("h", F.lit(HASH_SLICES)))
-        .groupBy(*keys, "slice")
-        .agg(F.collect_set("h").alias("hs"))
-    )
-    is_big = F.size("hs") > length
-    part = sliced.select(
-        *keys,
-        F.when(~is_big, F.col("hs")).alias("few"),
-        F.when(is_big, signature_of(F.col("hs"), length, seed)).alias("low"),
-    )
-    gathered = part.groupBy(*keys).agg(
-        F.flatten(F.collect_list("few")).alias("few"), F.collect_list("low").alias("lows")
-    )
-    no_limit = F.array_repeat(F.lit(MERSENNE_31).cast("bigint"), length)
-    from_few = F.when(F.size("few") > 0, signature_of(F.col("few"), length, seed)).otherwise(no_limit)
-    return gathered.select(
-        *keys, F.aggregate("lows", from_few, _lower).alias("minhash_signature")
-    )
+    hashed = df.select(*keys, java_hash(feature_string(*[F.col(f) for f in features])).alias("_h"))
+    return _minima(hashed.distinct(), keys, length, seed)
 
 
 def minhash_running(
@@ -83,22 +51,8 @@ def minhash_running(
     length: int = SIGNATURE_LENGTH,
     seed: int = SIGNATURE_SEED,
 ) -> DataFrame:
-    """The same signature as running minima: one stateful step of constant size.
-
-    For streams, where state per group has to stay bounded at ``length`` numbers
-    instead of growing with the features seen.
-    """
-    h = F.col("_h")
-    hashed = df.withColumn("_h", java_hash(feature_string(*[F.col(f) for f in features])))
-    minima = [
-        F.min(universal_hash(h, a, b, MERSENNE_31)).alias(f"m{i}")
-        for i, (a, b) in enumerate(coefficients(length, seed))
-    ]
-    grouped = hashed.groupBy(*keys).agg(*minima)
-    kept = [c for c in grouped.columns if c not in {f"m{i}" for i in range(length)}]
-    return grouped.select(
-        *kept, F.array(*[F.col(f"m{i}") for i in range(length)]).alias("minhash_signature")
-    )
+    """The same signature in one stateful step, for streams: repeated features aren't removed first."""
+    return _minima(df.withColumn("_h", java_hash(feature_string(*[F.col(f) for f in features]))), keys, length, seed)
 
 
 def minhash_merge(

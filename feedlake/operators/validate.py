@@ -12,19 +12,24 @@ from feedlake.schemas import LOCATION_KINDS
 
 @dataclass(frozen=True)
 class Facet:
-    """Length bounds, a pattern the whole text has to match, or an upper bound of a number."""
+    """Length bounds, a pattern the whole text has to match, an upper bound of a number, or a real day."""
 
     shortest: int = 0
     longest: int | None = None
     pattern: str | None = None
     at_most: int | None = None
+    day: bool = False
 
     def holds(self, text: Column) -> Column:
         checks = [F.length(text) >= self.shortest]
         if self.longest is not None:
             checks.append(F.length(text) <= self.longest)
         if self.pattern is not None:
-            checks.append(text.rlike(f"^(?:{self.pattern})$"))
+            checks.append(text.rlike(f"\\A(?:{self.pattern})\\z"))
+        if self.day:
+            # Years beyond four digits are beyond the calendar of try_to_date; their pattern has to do.
+            day = F.try_to_date(F.regexp_extract(text, r"\A([0-9]{4}-[0-9]{2}-[0-9]{2})", 1), "yyyy-MM-dd")
+            checks.append(day.isNotNull() | text.rlike(r"\A(-|[0-9]{5})"))
         if self.at_most is not None:
             number = text.try_cast("int")
             checks.append(F.coalesce((number >= 0) & (number <= self.at_most), F.lit(False)))
@@ -49,7 +54,10 @@ PUBLIC_TIME = Facet(pattern="([0-1][0-9]|2[0-3]):[0-5][0-9]")
 WORKING_TIME = Facet(pattern="([0-1][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?")
 FORMATION = Facet(shortest=1, longest=20)
 LOADING = Facet(at_most=100)
-DATE = Facet(pattern="-?[0-9]{4,}-[0-9]{2}-[0-9]{2}(Z|[+-][0-9]{2}:[0-9]{2})?")
+DATE = Facet(pattern="-?[0-9]{4,}-[0-9]{2}-[0-9]{2}(Z|[+-][0-9]{2}:[0-9]{2})?", day=True)
+RSID = Facet(shortest=6, longest=8)
+SOURCE_INSTANCE = Facet(shortest=4, longest=4)
+REQUEST = Facet(shortest=1, longest=16, pattern="[-_A-Za-z0-9]{1,16}")
 
 # (attribute, facet, required)
 STATUS_RULES = (("_rid", RID, True), ("_uid", UID, True), ("_ssd", DATE, True))
@@ -62,12 +70,18 @@ STATUS_POINT_RULES = (
     ("_wtp", WORKING_TIME, False),
     ("length", TRAIN_LENGTH, False),
 )
-TIME_RULES = (("_et", PUBLIC_TIME, False), ("_at", PUBLIC_TIME, False), ("_wet", PUBLIC_TIME, False))
+TIME_RULES = (
+    ("_et", PUBLIC_TIME, False),
+    ("_at", PUBLIC_TIME, False),
+    ("_wet", PUBLIC_TIME, False),
+    ("_srcInst", SOURCE_INSTANCE, False),
+)
 PLATFORM_RULES = (("_VALUE", PLATFORM, False),)
 SCHEDULE_RULES = (
     ("_rid", RID, True),
     ("_uid", UID, True),
     ("_trainId", TRAIN_ID, True),
+    ("_rsid", RSID, False),
     ("_ssd", DATE, True),
     ("_toc", TOC, True),
     ("_status", STATUS, False),
@@ -154,7 +168,9 @@ def validate_feed(routed: DataFrame) -> DataFrame:
     go on, or archive the rest with its reasons.
     """
     box = F.col("box")
-    findings = F.concat(_each(box["TS"], _status_findings), _each(box["schedule"], _schedule_findings))
+    request = _broken(F.col("doc.uR"), (("_requestID", REQUEST, False),))
+    of_update = F.when(F.col("doc.uR").isNotNull(), _prefixed(request, "uR.")).otherwise(F.array().cast("array<string>"))
+    findings = F.concat(of_update, _each(box["TS"], _status_findings), _each(box["schedule"], _schedule_findings))
     reason = F.array_join(F.array_sort(F.array_distinct(findings)), ",")
     checked = routed.withColumn("reject_reason", F.when(reason != "", reason))
     return checked.withColumn("valid", F.col("reject_reason").isNull())

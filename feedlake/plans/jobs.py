@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.functions.expressions import window_text
+from feedlake import schemas
+from feedlake.functions.expressions import window_text, with_once
+from feedlake.functions.payload import as_text, inflate
 from feedlake.operators import delays, ingest, joins, keyed, sketches
-from feedlake.operators.similar import THRESHOLD, similar_pairs
+from feedlake.operators.similar import THRESHOLD, settled, similar_pairs
 from feedlake.operators.validate import validate_feed
 
 
@@ -48,43 +50,80 @@ def journey_similarity(
     return similar_pairs(signatures(features, signature_window), threshold, scratch=scratch)
 
 
+def feed_outcomes(messages: DataFrame, ts_first: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Compressed messages -> (routed messages that are valid, the others with their ``reject_reason``).
+
+    A message that doesn't inflate is rejected as ``payload``, one that isn't a feed document as ``document``.
+    """
+    raw = with_once(messages, "_raw", inflate(F.col("payload")))
+    body = raw.withColumn("body", as_text(F.col("_raw"))).drop("_raw", "payload")
+    doc = F.from_xml("body", schemas.FEED, {"ignoreNamespace": "true"})
+    parsed = with_once(body, "doc", doc)
+    readable = F.col("doc._ts").isNotNull() & F.col("doc._version").isNotNull()
+    unread = parsed.filter(~F.coalesce(readable, F.lit(False)))
+    reason = F.when(F.col("body").isNull(), "payload").otherwise("document")
+    unread = unread.withColumn("reject_reason", reason).drop("body", "doc")
+    checked = validate_feed(ingest.route_messages(parsed.filter(readable).drop("body"), ts_first))
+    invalid = checked.filter("NOT valid").select(*unread.columns)
+    return checked.filter("valid"), unread.unionByName(invalid)
+
+
 def feed_to_rows(messages: DataFrame, ts_first: bool = True) -> tuple[DataFrame, DataFrame]:
     """Compressed messages -> (status rows, schedule rows) of the valid messages."""
-    routed = ingest.route_messages(ingest.parse_feed(ingest.decode_payload(messages)), ts_first)
-    valid = validate_feed(routed).filter("valid")
+    valid, _ = feed_outcomes(messages, ts_first)
     return ingest.flatten_ts(valid), ingest.flatten_schedule(valid)
 
 
+def _bucketed(vectors: DataFrame, plane_count: int, seed: int) -> DataFrame:
+    planes = delays.planes(plane_count, delays.VECTOR_LENGTH, seed)
+    return vectors.withColumn("bucket", delays.lsh_bucket(F.col("delays"), planes))
+
+
 def delay_patterns(
     schedule: DataFrame, ts: DataFrame, plane_count: int = 4, seed: int = 42
 ) -> DataFrame:
     """Delays -> per-journey vector -> bucket and its explanation."""
-    vectors = delays.delay_vector(delays.delay_calc(schedule, ts))
-    bucket = delays.lsh_bucket(F.col("delays"), delays.planes(plane_count, delays.VECTOR_LENGTH, seed))
-    bucketed = vectors.withColumn("bucket", bucket)
+    bucketed = _bucketed(delays.delay_vector(delays.delay_calc(schedule, ts)), plane_count, seed)
     return bucketed.withColumn("explanation", delays.explain_bucket(F.col("bucket"), F.col("delays")))
 
 
-def pattern_moments(schedule: DataFrame, ts: DataFrame, plane_count: int = 4, seed: int = 42) -> DataFrame:
+def _with_bucket(rows: DataFrame, per_journey: list, scratch: str, plane_count: int, seed: int) -> DataFrame:
+    """One row per journey: its bucket and sums of its delays, which are written once and read twice."""
+    rows = settled(rows, scratch, "delays")
+    buckets = _bucketed(delays.delay_vector(rows), plane_count, seed).select("rid", "bucket")
+    return settled(rows.groupBy("rid").agg(*per_journey).join(buckets, "rid"), scratch, "journeys")
+
+
+def pattern_moments(
+    schedule: DataFrame, ts: DataFrame, scratch: str, plane_count: int = 4, seed: int = 42
+) -> DataFrame:
     """Moments of all delays per bucket of the journey they belong to.
 
-    The vector side is one small row per journey; the delays side is what grows.
+    What moves is one row per journey. Variance is that within the journeys plus that
+    between them, so large means don't cancel it.
     """
-    rows = delays.delay_calc(schedule, ts)
-    vectors = delays.delay_vector(rows)
-    bucket = delays.lsh_bucket(F.col("delays"), delays.planes(plane_count, delays.VECTOR_LENGTH, seed))
-    assigned = vectors.select("rid", bucket.alias("bucket"))
-    # per-journey sums first: the join then moves one row per journey, whatever its share
-    sums = rows.groupBy("rid").agg(
-        F.count("delay").alias("n"),
-        F.avg("delay").alias("m"),
-        F.var_pop("delay").alias("v"),
-    )
-    joined = sums.join(assigned, "rid")
-    # mean and variance of a union from the parts' counts, means and variances
-    total = F.sum("n")
-    second = F.sum(F.col("n") * (F.col("v") + F.col("m") * F.col("m"))) / total
-    mean = F.sum(F.col("n") * F.col("m")) / total
-    return joined.groupBy("bucket").agg(
-        total.alias("n"), mean.alias("mean"), F.greatest(second - mean * mean, F.lit(0.0)).alias("variance")
+    sums = [F.count("delay").alias("n"), F.avg("delay").alias("m"), F.var_pop("delay").alias("v")]
+    journeys = _with_bucket(delays.delay_calc(schedule, ts), sums, scratch, plane_count, seed)
+    weighted = F.sum(F.col("n") * F.col("m")) / F.sum("n")
+    means = journeys.groupBy("bucket").agg(F.sum("n").alias("all"), weighted.alias("mean"))
+    apart = F.col("m") - F.col("mean")
+    spread = F.sum(F.col("n") * (F.col("v") + apart * apart)) / F.col("all")
+    joined = journeys.join(means, "bucket").groupBy("bucket", "all", "mean").agg(spread.alias("variance"))
+    return joined.select("bucket", F.col("all").alias("n"), "mean", "variance")
+
+
+def pattern_sums(
+    schedule: DataFrame,
+    ts: DataFrame,
+    scratch: str,
+    bound: float = delays.DELAY_BOUND,
+    plane_count: int = 4,
+    seed: int = 42,
+) -> DataFrame:
+    """``bucket, n, total, squares`` of the clipped delays, for :func:`delays.dp_moments`."""
+    clipped = F.greatest(F.lit(-bound), F.least(F.lit(bound), F.col("delay")))
+    sums = [F.count("delay").alias("n"), F.sum(clipped).alias("t"), F.sum(clipped * clipped).alias("s")]
+    journeys = _with_bucket(delays.delay_calc(schedule, ts), sums, scratch, plane_count, seed)
+    return journeys.groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.sum("t").alias("total"), F.sum("s").alias("squares")
     )

@@ -22,7 +22,7 @@ from feedlake.operators import counts, delays, ingest, joins, keyed, sketches
 from feedlake.operators.similar import pair_count, similar_groups, similar_pairs
 from feedlake.operators.validate import validate_feed
 from feedlake.plans import jobs
-from feedlake.session import spread, work_dir
+from feedlake.session import work_dir
 from feedlake.sources import events as ev
 from feedlake.sources import sinks, topics
 from feedlake.streaming import jobs as streams
@@ -34,21 +34,11 @@ VISITS = ev.STATUS_EVENTS
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def prepare(spark: SparkSession) -> None:
-    """Day windows and clocks are UTC; a local session does not need 200 shuffle partitions."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    local = spark.conf.get("spark.master", "local").startswith("local")
-    if local and spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-
-
 def _prep(spark: SparkSession, d: str) -> DataFrame:
-    prepare(spark)
-    return ev.prepared(spread(ev.load(spark, d, "events")))
+    return ev.prepared(ev.load(spark, d, "events"))
 
 
 def _prep_stream(spark: SparkSession, d: str) -> DataFrame:
-    prepare(spark)
     schema = ev.load(spark, d, "events").schema
     return ev.prepared(topics.parquet_stream(spark, f"{d}/events.parquet", schema))
 
@@ -80,16 +70,18 @@ def src_raw(spark, d):
     return topics.raw_messages(records)
 
 
+def _beside(*values: Column) -> Column:
+    """Every value that isn't NULL as a row of its own: what is wrong stands beside the table's rows."""
+    return F.explode(F.array_compact(F.array(*values)))
+
+
 def _patchy_records(prep: DataFrame) -> DataFrame:
-    """JSON records of which some lack a field and some are cut off."""
+    """A JSON record per event; beside some, one that lacks a field or is cut off."""
     c = F.col
     tpl = c("tpl").alias("ts_tpl")
-    return prep.select(
-        F.when(c("event_type") == "error", F.concat(F.lit('{"rid": "'), "rid"))
-        .when(c("event_type") == "view", _json("rid", tpl))
-        .otherwise(_json("rid", tpl, "event_type"))
-        .alias("value")
-    )
+    lacking = F.when(c("event_type") == "view", _json("rid", tpl))
+    cut = F.when(c("event_type") == "error", F.concat(F.lit('{"rid": "'), "rid"))
+    return prep.select(_beside(_json("rid", tpl, "event_type"), lacking, cut).alias("value"))
 
 
 def src_json(spark, d):
@@ -114,6 +106,16 @@ def sink_files(spark, d):
     return spark.read.schema(schemas.RAW_MESSAGE).json(base)
 
 
+def sink_text(spark, d):
+    """Messages as bare lines of an archive; the tables' messages are one line each."""
+    base = work_dir(spark, "lines")
+    source = topics.parquet_stream(spark, f"{d}/events.parquet", ev.load(spark, d, "events").schema)
+    lines = ev.as_records(ev.prepared(source), "event_id", "rid", "tpl").withColumnRenamed("value", "message")
+    drained = {"availableNow": True}
+    sinks.text_stream(lines, f"{base}/out", f"{base}/checkpoint", trigger=drained).awaitTermination()
+    return topics.replay_table(spark, f"{base}/out").withColumnRenamed("value", "message")
+
+
 def sink_kafka_value(spark, d):
     return sinks.kafka_value(distinct_count_window(spark, d))
 
@@ -151,9 +153,10 @@ def _window_end(window: str = WINDOW) -> Column:
 
 
 def _packed_documents(spark, d) -> DataFrame:
-    codec = F.when(F.col("lang") == "en", "gzip").when(F.col("n_chars") < 500, "broken").otherwise("zlib")
-    docs = ev.load(spark, d, "documents")
-    return docs.select("doc_id", ev.deflate(F.col("text"), codec).alias("payload"))
+    codec = F.when(F.col("lang") == "en", "gzip").otherwise("zlib")
+    bad = F.when(F.col("n_chars") < 500, "broken")
+    docs = ev.load(spark, d, "documents").withColumn("codec", _beside(codec, bad))
+    return docs.select("doc_id", ev.deflate(F.col("text"), F.col("codec")).alias("payload"))
 
 
 def decode_payload(spark, d):
@@ -161,22 +164,71 @@ def decode_payload(spark, d):
     return decoded.select("doc_id", F.md5("body").alias("body_md5"), F.length("body").alias("n_chars"))
 
 
-CODECS = ("plain", "gzip", "zlib", "deflate", "gzip_header", "xor_8b", "broken")
+CODECS = ("plain", "gzip", "zlib", "deflate", "gzip_header", "xor_8b")
 
 
 def decode_payload_any(spark, d):
     pages = ev.load(spark, d, "pages")
     codec = F.element_at(F.array(*map(F.lit, CODECS)), (F.length("url") % len(CODECS) + 1).cast("int"))
     body = F.concat(F.lit("<P>"), F.col("html"), F.lit("</P>"))
-    packed = pages.select("page_id", ev.deflate(body, codec).alias("payload"))
+    bad = F.when(F.length("url") % 7 == 0, "broken")
+    packed = pages.select("page_id", body.alias("body"), _beside(codec, bad).alias("codec"))
+    packed = packed.select("page_id", ev.deflate(F.col("body"), F.col("codec")).alias("payload"))
     return ingest.decode_payload_any(packed).select("page_id", "strategy", F.md5("body").alias("body_md5"))
 
 
 def payload_preview(spark, d):
     docs = ev.load(spark, d, "documents")
     gz = F.decode(ev.deflate(F.col("text"), F.lit("gzip")), "ISO-8859-1")
-    message = F.when(F.col("lang") == "en", gz).when(F.col("n_chars") >= 60, F.col("text"))
-    return docs.select("doc_id", preview(message).alias("preview"))
+    message = F.when(F.col("lang") == "en", gz).otherwise(F.col("text"))
+    nothing = F.when(F.col("n_chars") < 60, F.lit(None).cast("string")).otherwise(message)
+    messages = F.when(F.col("n_chars") < 60, F.array(message, nothing)).otherwise(F.array(message))
+    rows = docs.select("doc_id", F.explode(messages).alias("message"))
+    return rows.select("doc_id", preview(F.col("message")).alias("preview"))
+
+
+def message_headers(spark, d):
+    """Headers of topic records: the sequence once or twice, the type not always there."""
+    def header(key: str, value: Column) -> Column:
+        return F.struct(F.lit(key).alias("key"), value.cast("binary").alias("value"))
+
+    sequence = header("PushPortSequence", F.col("event_id").cast("string"))
+    kind = F.when(F.col("event_type") != "error", header("MessageType", F.upper(F.substring("event_type", 1, 2))))
+    first = F.when(F.col("event_type") == "view", header("PushPortSequence", F.lit("old")))
+    rows = _prep(spark, d).select(
+        F.array_compact(F.array(first, sequence, kind)).alias("headers"),
+        F.col("event_time").alias("timestamp"),
+        F.col("tpl").cast("binary").alias("value"),
+    )
+    found = ingest.message_headers(rows)
+    return found.withColumn("payload", F.decode("payload", "UTF-8"))
+
+
+def _packed_feed(spark, d) -> DataFrame:
+    """The feed's messages compressed, and beside those of small views one that doesn't inflate."""
+    kinds = _prep(spark, d).select("event_id", ((F.col("event_type") == "view") & (F.col("value") < 20)).alias("bad"))
+    rows = _messages(spark, d).join(kinds, "event_id")
+    rows = rows.withColumn("codec", _beside(F.lit("gzip"), F.when(F.col("bad"), "broken")))
+    return rows.select(
+        "event_id", "message_type", "pp_sequence", "processing_ts", ev.deflate(F.col("body"), F.col("codec")).alias("payload")
+    )
+
+
+def feed_pipeline(spark, d):
+    """Compressed messages -> decode -> parse -> validate -> flatten; rows per kind, journey and location."""
+    valid, _ = jobs.feed_outcomes(_packed_feed(spark, d), ts_first=False)
+    sides = {"status": ingest.flatten_ts(valid), "schedule": ingest.flatten_schedule(valid)}
+    parts = [
+        df.groupBy("rid", "tpl").agg(F.count("*").alias("n"), F.max("pp_sequence").alias("last")).withColumn("kind", F.lit(k))
+        for k, df in sides.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def feed_rejects(spark, d):
+    """The other outcome of the same messages: every one that is turned away, with the reason."""
+    _, rejected = jobs.feed_outcomes(_packed_feed(spark, d), ts_first=False)
+    return rejected.select("event_id", "reject_reason")
 
 
 def _messages(spark, d) -> DataFrame:
@@ -221,12 +273,8 @@ def flatten_schedule(spark, d):
 
 
 def snapshot_split(spark, d):
-    updates, snapshots = ingest.snapshot_split(ingest.flatten_ts(_routed(spark, d)))
-
-    def counted(df: DataFrame, target: str) -> DataFrame:
-        return df.groupBy("rid", "tpl").agg(F.count("*").alias("n")).withColumn("target", F.lit(target))
-
-    return counted(updates, "topic").unionByName(counted(snapshots, "snapshot_log"))
+    rows = ingest.flatten_ts(_routed(spark, d)).withColumn("target", ingest.snapshot_target())
+    return rows.groupBy("rid", "tpl", "target").agg(F.count("*").alias("n"))
 
 
 def schedule_origin(spark, d):
@@ -256,17 +304,21 @@ def station_updates(spark, d):
 
 
 def parse_keyed_json(spark, d):
-    """Usable, numeric id, text time, padded and non-object records, by event type."""
+    """A usable record per event; beside them padded ones, which are usable, and ones with wrong ids, times or text."""
     c = F.col
     whole = _json("rid", "tpl", "processing_ts")
-    value = (
-        F.when(c("event_type") == "click", whole)
-        .when(c("event_type") == "view", _json(c("rid").cast("bigint").alias("rid"), "processing_ts"))
-        .when(c("event_type") == "signup", _json("rid", c("processing_ts").cast("string").alias("processing_ts")))
-        .when(c("event_type") == "purchase", F.concat(F.lit("  "), whole))
-        .otherwise(F.concat(F.lit("noise "), whole))
-    )
-    rows = keyed.parse_keyed_json(_prep(spark, d).select(value.alias("value")), ("tpl",))
+
+    def late(seconds: str) -> Column:
+        return F.concat(F.lit('{"rid": "'), "rid", F.lit(f'", "processing_ts": {seconds}}}'))
+
+    beside = {
+        "view": (_json(c("rid").cast("bigint").alias("rid"), "processing_ts"), late("1e15"), F.lit("{}")),
+        "signup": (_json("rid", c("processing_ts").cast("string").alias("processing_ts")), late("1e300")),
+        "purchase": (F.concat(F.lit("  "), whole), late("-1e300"), F.concat(F.lit("\ufeff"), whole)),
+        "error": (F.concat(F.lit("noise "), whole), late("null")),
+    }
+    more = [F.when(c("event_type") == kind, v) for kind, values in beside.items() for v in values]
+    rows = keyed.parse_keyed_json(_prep(spark, d).select(_beside(whole, *more).alias("value")), ("tpl",))
     return rows.select("rid", window_text(F.col("event_time")).alias("event_time"), "tpl")
 
 
@@ -274,8 +326,9 @@ def parse_keyed_json(spark, d):
 
 
 def filter_not_null(spark, d):
-    rid = F.when(F.col("event_type") != "error", F.col("rid"))
-    return sinks.not_null(_prep(spark, d).select("event_id", rid.alias("rid")), "rid")
+    nothing = F.lit(None).cast("string")
+    both = F.when(F.col("event_type") == "error", F.array("rid", nothing)).otherwise(F.array("rid"))
+    return sinks.not_null(_prep(spark, d).select("event_id", F.explode(both).alias("rid")), "rid")
 
 
 def filter_in(spark, d):
@@ -319,6 +372,10 @@ def window_join(spark, d):
     return joins.window_join(*_both_keyed(_prep(spark, d)), WINDOW).drop("win")
 
 
+def joined_record(spark, d):
+    return joins.joined_record(joins.window_join(*_both_keyed(_prep(spark, d)), WINDOW))
+
+
 def journey_features(spark, d):
     joined = joins.journey_features(*_both_keyed(_prep(spark, d)), WINDOW)
     return joined.select(
@@ -363,8 +420,15 @@ def bloom_agg(spark, d):
 
 
 def _nulled(joined: DataFrame) -> DataFrame:
-    """Error events lose their location, so that NULLs and all-NULL groups occur."""
-    return joined.withColumn("ts_tpl", F.when(F.col("event_type") != "error", F.col("ts_tpl")))
+    """All events, and beside error events one of the same and one of another journey without a location."""
+    def place(rid: Column, tpl: Column) -> Column:
+        return F.struct(rid.alias("rid"), tpl.alias("ts_tpl"))
+
+    nothing = F.lit(None).cast("string")
+    own, other = F.col("rid"), F.concat(F.lit("n"), "rid")
+    beside = F.array(place(own, F.col("ts_tpl")), place(own, nothing), place(other, nothing))
+    places = F.when(F.col("event_type") == "error", beside).otherwise(F.slice(beside, 1, 1))
+    return joined.withColumn("place", F.explode(places)).select("event_time", "place.*")
 
 
 def bloom_merge(spark, d):
@@ -489,6 +553,17 @@ def lsh_bucket(spark, d):
     return vectors.select("vec_id", delays.lsh_bucket(F.col("embedding"), normals).alias("bucket"))
 
 
+def lsh_bucket_gaps(spark, d):
+    """Vectors that are cut short, hold a NULL, or are longer than the planes."""
+    v = F.col("embedding")
+    holed = F.transform(v, lambda x, i: F.when(i != F.col("vec_id") % DIMENSIONS, x))
+    kind = F.col("vec_id") % 3
+    gaps = F.when(kind == 0, F.slice(v, 1, 40)).when(kind == 1, holed).otherwise(F.concat(v, F.slice(v, 1, 5)))
+    vectors = ev.load(spark, d, "embeddings").select("vec_id", gaps.alias("embedding"))
+    normals = delays.planes(PLANES, DIMENSIONS)
+    return vectors.select("vec_id", delays.lsh_bucket(F.col("embedding"), normals).alias("bucket"))
+
+
 PLANES, DIMENSIONS = 12, 64
 
 
@@ -503,7 +578,7 @@ def explain_bucket(spark, d):
 
 def _moments(spark, d) -> DataFrame:
     prep = _prep(spark, d)
-    return jobs.pattern_moments(ev.schedule_side(prep), ev.status_side(prep))
+    return jobs.pattern_moments(ev.schedule_side(prep), ev.status_side(prep), work_dir(spark, "moments"))
 
 
 def bucket_moments(spark, d):
@@ -513,12 +588,14 @@ def bucket_moments(spark, d):
 
 
 def dp_moments(spark, d):
-    noisy = delays.dp_moments(_moments(spark, d), SECRET)
+    prep = _prep(spark, d)
+    sums = jobs.pattern_sums(ev.schedule_side(prep), ev.status_side(prep), work_dir(spark, "sums"))
+    noisy = delays.dp_moments(sums, SECRET)
     return noisy.select(
         "bucket",
-        "n",
-        F.round("noisy_mean", 5).alias("noisy_mean"),
-        F.round("noisy_variance", 3).alias("noisy_variance"),
+        F.round("noisy_n", 5).alias("noisy_n"),
+        F.round("noisy_mean", 4).alias("noisy_mean"),
+        F.round("noisy_variance", 2).alias("noisy_variance"),
     )
 
 
@@ -527,6 +604,7 @@ QUERIES: dict[str, Query] = {
     "src_json": src_json,
     "src_replay": src_replay,
     "sink_files": sink_files,
+    "sink_text": sink_text,
     "sink_kafka_value": sink_kafka_value,
     "sink_keyed": sink_keyed,
     "sink_upsert": sink_upsert,
@@ -534,6 +612,9 @@ QUERIES: dict[str, Query] = {
     "decode_payload": decode_payload,
     "decode_payload_any": decode_payload_any,
     "payload_preview": payload_preview,
+    "message_headers": message_headers,
+    "feed_pipeline": feed_pipeline,
+    "feed_rejects": feed_rejects,
     "parse_feed": parse_feed,
     "route_messages": route_messages,
     "route_messages_both": route_messages_both,
@@ -551,6 +632,7 @@ QUERIES: dict[str, Query] = {
     "feature_string": feature_string_query,
     "java_hash": java_hash_query,
     "window_join": window_join,
+    "joined_record": joined_record,
     "journey_features": journey_features,
     "minhash_signature": minhash_signature,
     "minhash_merge": minhash_merge,
@@ -574,6 +656,7 @@ QUERIES: dict[str, Query] = {
     "delay_vector": delay_vector,
     "running_delay_vector": running_delay_vector,
     "lsh_bucket": lsh_bucket,
+    "lsh_bucket_gaps": lsh_bucket_gaps,
     "bucket_moments": bucket_moments,
     "dp_moments": dp_moments,
     "explain_bucket": explain_bucket,

@@ -40,7 +40,8 @@ prep AS (
   FROM events),
 sched AS (SELECT * FROM prep WHERE event_type IN ('signup', 'purchase')),
 stat AS (
-  SELECT *, CASE WHEN event_type <> 'error' THEN clock END AS actual_time
+  SELECT *, CASE WHEN event_type <> 'error' THEN clock END AS actual_time,
+         CASE WHEN event_type <> 'error' THEN clock ELSE minute || ':00' END AS reported
   FROM prep WHERE event_type IN ('click', 'error', 'view'))"""
 
 
@@ -99,9 +100,18 @@ joined AS (
          t.clock AS ts_wta, 'null' AS ts_wtd, 'null' AS ts_wtp, t.event_type,
          coalesce(t.actual_time, 'null') AS actual_time
   FROM sched s JOIN stat t ON s.rid = t.rid AND s.window_end = t.window_end)"""
+_JOINED_NAMES = (
+    "rid uid sch_tpl sch_wta sch_wtd sch_wtp ts_tpl ts_pta ts_ptd ts_wta ts_wtd ts_wtp event_type actual_time".split()
+)
+_JOINED_JSON = (
+    "SELECT '{' || " + " || ',' || ".join(f"""'"{n}":"' || {n} || '"'""" for n in _JOINED_NAMES) + " || '}' AS value FROM joined"
+)
 _WINDOW_JOIN = _with("SELECT * EXCLUDE (window_end) FROM joined", _JOINED)
 
-_LOCATION = "CASE WHEN event_type <> 'error' THEN tpl END"
+_NULLED = """
+nulled AS (SELECT rid, window_end, tpl FROM prep
+           UNION ALL SELECT rid, window_end, NULL FROM prep WHERE event_type = 'error'
+           UNION ALL SELECT 'n' || rid, window_end, NULL FROM prep WHERE event_type = 'error')"""
 
 
 def _bloom(source: str, keys: str, element: str, name: str) -> str:
@@ -124,7 +134,7 @@ def _bytes(bits: str) -> str:
     return f"list_aggregate(list_transform(range({FILTER_BITS // 8}), lambda i: printf('%02X', {one})), 'string_agg', '')"
 
 
-_BLOOM = _bloom("prep", "rid, window_end", _LOCATION, "bl")
+_BLOOM = _NULLED + "," + _bloom("nulled", "rid, window_end", "tpl", "bl")
 _VISITS = "event_type IN ('click', 'error', 'view')"
 _COUNTS = f"""
 counts AS (SELECT window_end, tpl AS location, count(DISTINCT rid) AS n_rids
@@ -146,7 +156,12 @@ def _noise(key: str, scale: float = 1.0) -> str:
 _NOISY = f"round(n_rids + {_noise('window_end || chr(124) || location')}, 6) AS noisy_count"
 
 _HAS_TS = "event_type IN ('click', 'view', 'signup')"
-_PARSED = "NOT (event_type = 'error' AND value < 20)"
+_PARSED = "TRUE"
+_REASONS = f"""
+reasons AS (SELECT event_id, nullif(concat_ws(',',
+              CASE WHEN event_type IN ('click', 'view', 'signup') AND length(tpl) > 2 THEN 'plat.VALUE' END,
+              CASE WHEN event_type IN ('purchase', 'signup') AND length(zone) <> 2 THEN 'schedule.toc' END), '')
+            AS reject_reason FROM prep)"""
 
 
 def _route(both: str) -> str:
@@ -211,8 +226,8 @@ _CLOCK = (
 _DELAYS = f"""
 planned AS (SELECT rid, tpl, arg_max(clock, (ts, clock)) AS planned FROM sched GROUP BY ALL),
 gaps AS (
-  SELECT t.rid, t.tpl, t.ts, {_CLOCK.format('t.actual_time')} - {_CLOCK.format('p.planned')} AS gap
-  FROM stat t JOIN planned p ON t.rid = p.rid AND t.tpl = p.tpl WHERE t.actual_time IS NOT NULL),
+  SELECT t.rid, t.tpl, t.ts, {_CLOCK.format('t.reported')} - {_CLOCK.format('p.planned')} AS gap
+  FROM stat t JOIN planned p ON t.rid = p.rid AND t.tpl = p.tpl),
 delays AS (
   SELECT rid, tpl, ts, CASE WHEN gap > 720 THEN gap - 1440 WHEN gap < -720 THEN gap + 1440 ELSE gap END AS delay
   FROM gaps)"""
@@ -244,11 +259,14 @@ _CODEC = f"[{', '.join(repr(c) for c in CODECS)}][length(url) % {len(CODECS)} +
 ORACLES: dict[str, str] = {
     "src_raw": "SELECT text AS message FROM documents",
     "src_json": _with(
-        "SELECT rid, tpl AS ts_tpl, CASE WHEN event_type <> 'view' THEN event_type END AS event_type"
-        " FROM prep WHERE event_type <> 'error'"
+        "SELECT rid, tpl AS ts_tpl, event_type FROM prep"
+        " UNION ALL SELECT rid, tpl, NULL FROM prep WHERE event_type = 'view'"
     ),
     "src_replay": _with("SELECT rid, tpl, event_type, processing_ts FROM prep"),
     "sink_files": "SELECT text AS message FROM documents",
+    "sink_text": _with(
+        """SELECT '{"event_id":' || event_id || ',"rid":"' || rid || '","tpl":"' || tpl || '"}' AS message FROM prep"""
+    ),
     "sink_kafka_value": _with(
         """SELECT '{"window_end":"' || window_end || '","location":"' || location || '","n_rids":' || n_rids || '}' AS value FROM counts""",
         _COUNTS,
@@ -268,20 +286,18 @@ ORACLES: dict[str, str] = {
     ).replace("SELECT *, s AS sink", "SELECT window_end, location, n_rids, s AS sink"),
     "decode_payload": (
         "SELECT doc_id, md5(text) AS body_md5, length(text) AS n_chars FROM documents"
-        " WHERE lang = 'en' OR n_chars >= 500"
     ),
     "decode_payload_any": (
         "SELECT page_id, strategy, md5('<P>' || html || '</P>') AS body_md5"
-        f" FROM (SELECT *, {_CODEC} AS strategy FROM pages) WHERE strategy <> 'broken'"
+        f" FROM (SELECT *, {_CODEC} AS strategy FROM pages)"
     ),
     "payload_preview": """
 SELECT doc_id, CASE
     WHEN lang = 'en' AND n_chars > 200 THEN 'Decoded (decompressed): ' || substr(text, 1, 200) || '...'
     WHEN lang = 'en' THEN text
-    WHEN n_chars < 60 THEN 'Received null message'
     WHEN n_chars > 200 THEN 'Received message: ' || substr(text, 1, 200) || '...'
     ELSE text END AS preview
-FROM documents""",
+FROM documents UNION ALL SELECT doc_id, 'Received null message' FROM documents WHERE n_chars < 60""",
     "parse_feed": _with(
         f"""SELECT event_id, ssd || 'T' || clock AS ts, '16.0' AS version,
             CASE WHEN event_type IN ('click', 'purchase', 'signup') THEN 'TD' END AS update_origin,
@@ -293,11 +309,26 @@ FROM documents""",
     "route_messages": _with(_route("TS")),
     "route_messages_both": _with(_route("TS+schedule")),
     "validate_feed": _with(
-        f"""SELECT event_id, reject_reason IS NULL AS valid, reject_reason FROM (
-            SELECT event_id, nullif(concat_ws(',',
-              CASE WHEN {_HAS_TS} AND length(tpl) > 2 THEN 'plat.VALUE' END,
-              CASE WHEN event_type IN ('purchase', 'signup') AND length(zone) <> 2 THEN 'schedule.toc' END), '')
-            AS reject_reason FROM prep WHERE {_PARSED})"""
+        "SELECT event_id, reject_reason IS NULL AS valid, reject_reason FROM reasons", _REASONS
+    ),
+    "message_headers": _with(
+        """SELECT CASE WHEN event_type <> 'error' THEN upper(substr(event_type, 1, 2)) END AS message_type,
+           CAST(event_id AS VARCHAR) AS pp_sequence, processing_ts, tpl AS payload FROM prep"""
+    ),
+    "feed_pipeline": _with(
+        """SELECT kind, rid, tpl, count(*) AS n, max(pp_sequence) AS last FROM both_kinds
+           JOIN reasons ON pp_sequence = CAST(event_id AS VARCHAR) WHERE reject_reason IS NULL GROUP BY kind, rid, tpl""",
+        _REASONS,
+        _TS_ROWS,
+        _POINTS,
+        f"""both_kinds AS (SELECT 'status' AS kind, rid, tpl, pp_sequence FROM ts_rows
+            UNION ALL SELECT 'schedule', rid, tpl, pp_sequence FROM ({_SCHEDULE_ROWS}))""",
+    ),
+    "feed_rejects": _with(
+        """SELECT event_id, reject_reason FROM reasons WHERE reject_reason IS NOT NULL
+           UNION ALL SELECT event_id, 'document' FROM prep WHERE event_type = 'error' AND value < 20
+           UNION ALL SELECT event_id, 'payload' FROM prep WHERE event_type = 'view' AND value < 20""",
+        _REASONS,
     ),
     "flatten_ts": _with("SELECT * FROM ts_rows", _TS_ROWS),
     "flatten_schedule": _with(_SCHEDULE_ROWS, _POINTS),
@@ -324,9 +355,10 @@ FROM documents""",
     ),
     "parse_keyed_json": _with(
         f"""SELECT rid, strftime(make_timestamp(CAST(trunc(processing_ts * 1000) AS BIGINT) * 1000), {_STAMP})
-            AS event_time, tpl FROM prep WHERE event_type IN ('click', 'purchase')"""
+            AS event_time, tpl
+            FROM (SELECT * FROM prep UNION ALL SELECT * FROM prep WHERE event_type = 'purchase')"""
     ),
-    "filter_not_null": _with("SELECT event_id, rid FROM prep WHERE event_type <> 'error'"),
+    "filter_not_null": _with("SELECT event_id, rid FROM prep"),
     "filter_in": _with(f"SELECT event_id, rid, event_type FROM prep WHERE {_VISITS}"),
     "feature_string": _with(
         "SELECT event_id, CASE WHEN event_type <> 'error' THEN zone ELSE 'NULL' END || '|' || tpl || '|' || event_type"
@@ -334,6 +366,7 @@ FROM documents""",
     ),
     "java_hash": f"SELECT doc_id, {_hash('text')} AS h FROM documents",
     "window_join": _WINDOW_JOIN,
+    "joined_record": _with(_JOINED_JSON, _JOINED),
     "journey_features": _with(
         "SELECT DISTINCT window_end, rid, sch_tpl, ts_tpl, event_type FROM joined", _JOINED
     ),
@@ -358,7 +391,7 @@ FROM documents""",
     ),
     "bloom_agg": _with("SELECT rid, window_end, bloom_filter_base64 FROM bl", BLO, _BLOOM),
     "bloom_merge": _with(
-        "SELECT rid, bloom_filter_base64 FROM whole", BLO, _bloom("prep", "rid", _LOCATION, "whole")
+        "SELECT rid, bloom_filter_base64 FROM whole", BLO, _NULLED, _bloom("nulled", "rid", "tpl", "whole")
     ),
     "bloom_might_contain": _with(
         f"""SELECT event_id,
@@ -405,14 +438,29 @@ FROM documents""",
 SELECT vec_id, list_aggregate(list_transform(CAST([{_WIDE}] AS DOUBLE[][]), lambda n:
        CASE WHEN list_dot_product(CAST(embedding AS DOUBLE[]), n) >= 0 THEN '1' ELSE '0' END), 'string_agg', '') AS bucket
 FROM embeddings""",
+    "lsh_bucket_gaps": f"""
+WITH g AS (SELECT vec_id, CASE vec_id % 3 WHEN 0 THEN embedding[1:40]
+                  WHEN 1 THEN list_transform(embedding, lambda x, i: CASE WHEN i - 1 <> vec_id % {DIMENSIONS} THEN x END)
+                  ELSE list_concat(embedding, embedding[1:5]) END AS e FROM embeddings),
+p AS (SELECT vec_id, list_transform(range(1, {DIMENSIONS} + 1), lambda i: coalesce(CAST(e[i] AS DOUBLE), 0)) AS e FROM g)
+SELECT vec_id, list_aggregate(list_transform(CAST([{_WIDE}] AS DOUBLE[][]), lambda n:
+       CASE WHEN list_dot_product(e, n) >= 0 THEN '1' ELSE '0' END), 'string_agg', '') AS bucket
+FROM p""",
     "bucket_moments": _with(
         "SELECT bucket, n, round(mean, 5) AS mean, round(variance, 3) AS variance FROM moments",
         _DELAYS, _VECTORS, _BUCKETS, _MOMENTS,
     ),
     "dp_moments": _with(
-        f"""SELECT bucket, n, round(mean + {_noise("bucket || '|mean'")}, 5) AS noisy_mean,
-            round(variance + {_noise("bucket || '|variance'")}, 3) AS noisy_variance FROM moments""",
-        _DELAYS, _VECTORS, _BUCKETS, _MOMENTS,
+        """SELECT bucket, round(n, 5) AS noisy_n, round(mean, 4) AS noisy_mean,
+           round(greatest(0, least(14400, squares / greatest(n, 1) - mean * mean)), 2) AS noisy_variance
+           FROM (SELECT *, greatest(-120, least(120, total / greatest(n, 1))) AS mean FROM drawn)""",
+        _DELAYS,
+        _VECTORS,
+        _BUCKETS,
+        f"""sums AS (SELECT bucket, count(*) AS n, sum(c) AS total, sum(c * c) AS squares
+            FROM (SELECT bucket, greatest(-120, least(120, delay)) AS c FROM delays JOIN buckets USING (rid)) GROUP BY bucket),
+drawn AS (SELECT bucket, n + {_noise("bucket || '|n'", 3.0)} AS n, total + {_noise("bucket || '|total'", 360.0)} AS total,
+            squares + {_noise("bucket || '|squares'", 43200.0)} AS squares FROM sums)""",
     ),
     "explain_bucket": _with(
         """SELECT rid, bucket, 'Bucket ' || bucket || ': '

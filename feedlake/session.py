@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings the plans rely on at scale. AQE coalesces small shuffle partitions and
 # splits skewed ones in joins; forcing the skew split keeps it when a later
 # operator could have reused the join's partitioning. The small per-group sets of
 # the sketches fit a hash map well beyond the default of 128 groups, and their rows
-# are small but costly, so few bytes are still worth a task of their own. RocksDB
+# are small but costly, so few bytes are still worth a task of their own. Days and
+# clocks are UTC. A JSON object with a repeated key keeps the last value. RocksDB
 # keeps streaming state off the JVM heap.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -21,6 +21,7 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -37,35 +38,14 @@ def build_session(app: str = "feedlake", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder for checkpoints and intermediate tables.
-
-    It lies under ``spark.checkpoint.dir``, the folder all executors share. Only a
-    local session without that setting falls back to a temporary folder.
-    """
-    leaf = f"{label}-{uuid.uuid4().hex}"
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return f"{base.rstrip('/')}/feedlake/{leaf}"
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``, else the context's checkpoint directory."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return f"{tempfile.mkdtemp(prefix='feedlake-')}/{leaf}"
-
+    return base.rstrip("/")
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for row work on an input with fewer splits than cores.
 
-    A table of at least that many splits is returned as it is, so this never adds a
-    shuffle to a large input.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if _few_bytes(df, cores) and len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df
-
-
-def _few_bytes(df: DataFrame, cores: int) -> bool:
-    """Whether the scan is estimated below one full split per core."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    split = 128 * 1024 * 1024
-    return int(str(stats.sizeInBytes())) < cores * split
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder in the shared one, for checkpoints and intermediate tables."""
+    return f"{shared_folder(spark)}/feedlake/{label}-{uuid.uuid4().hex}"

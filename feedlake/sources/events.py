@@ -73,6 +73,7 @@ def status_side(prep: DataFrame) -> DataFrame:
         nothing.alias("wtp"),
         "event_type",
         F.when(F.col("event_type") != "error", clock).alias("actual_time"),
+        F.substring(clock, 1, 5).alias("forecast_time"),
         "processing_ts",
     )
 
@@ -110,9 +111,9 @@ def feed_messages(prep: DataFrame) -> DataFrame:
     """One XML message per event, of a kind that depends on its type.
 
     ``click`` update with status; ``view`` snapshot with status; ``purchase`` update
-    with schedule; ``signup`` update with both; ``error`` a failure response, or a
-    cut-off document when the value is below 20. Large values give platform and
-    operator codes longer than the feed allows.
+    with schedule; ``signup`` update with both; ``error`` a failure response. Large
+    values give platform and operator codes longer than the feed allows. Beside the
+    failure responses of values below 20 stands a cut-off document each.
     """
     c = F.col
     minute = F.substring("clock", 1, 5)
@@ -148,7 +149,6 @@ def feed_messages(prep: DataFrame) -> DataFrame:
         .when(c("event_type") == "view", _element("sR", [], status))
         .when(c("event_type") == "purchase", _element("uR", update, plan))
         .when(c("event_type") == "signup", _element("uR", update, plan, status))
-        .when(c("value") < 20, F.lit("<uR><TS"))
         .otherwise(_element("FailureResp", _attrs(code="E1"), F.lit("failed")))
     )
     root = _attrs(
@@ -156,12 +156,14 @@ def feed_messages(prep: DataFrame) -> DataFrame:
         ts=F.concat(c("ssd"), F.lit("T"), c("clock")),
         version="16.0",
     )
+    body = _element("Pport", root, content)
+    cut = F.when((c("event_type") == "error") & (c("value") < 20), F.lit("<Pport><uR><TS"))
     return prep.select(
         "event_id",
         F.when(c("event_type") == "error", "LA").otherwise("TS").alias("message_type"),
         c("event_id").cast("string").alias("pp_sequence"),
         "processing_ts",
-        _element("Pport", root, content).alias("body"),
+        F.explode(F.array_compact(F.array(body, cut))).alias("body"),
     )
 
 

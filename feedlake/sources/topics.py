@@ -52,7 +52,9 @@ def parquet_stream(spark: SparkSession, path: str, schema: T.StructType) -> Data
     """A table folder, or a table kept as one file, as an unbounded source.
 
     A streaming source takes a plain path for a folder; as a pattern it matches both.
+    The path itself must hold no pattern characters.
     """
+    path = path.rstrip("/")
     return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 

@@ -19,7 +19,6 @@ from feedlake.operators import counts, joins, sketches
 from feedlake.operators.similar import THRESHOLD
 
 AGGREGATE_WINDOW = "1 minute"
-CHECKPOINT_EVERY = "5 seconds"
 
 
 def timed(df: DataFrame, delay: str = joins.WATERMARK, time: str = "event") -> DataFrame:
@@ -76,8 +75,8 @@ def count_stream(
     return counts.distinct_count_window(timed(joined, delay, time), window, event_types)
 
 
-def dp_count_stream(joined: DataFrame, secret: str | None = None, **settings) -> DataFrame:
-    """The private release of :func:`count_stream`."""
+def dp_count_stream(joined: DataFrame, secret: str, **settings) -> DataFrame:
+    """The private release of :func:`count_stream`; the secret makes a retried batch publish the same values."""
     return counts.dp_noisy_count(count_stream(joined, **settings), secret)
 
 

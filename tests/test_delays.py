@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from feedlake.operators import counts, delays
 from feedlake.operators.skew import heavy_keys, join_to_unique
 from feedlake.plans import jobs
+from feedlake.session import work_dir
 
 START = datetime(2025, 4, 30, 12, 0, 0)
 PLAN = "rid string, tpl string, event_time timestamp, wta string, wtd string, wtp string"
@@ -57,20 +58,14 @@ def test_delay_uses_latest_plan_and_event(spark):
     assert [(r.tpl, r.delay) for r in got] == [("A", 4.0), ("A", 2.0), ("B", 2.0)]
 
 
-def test_heavy_keys_are_sliced_without_changing_the_result(spark):
-    plan = spark.createDataFrame([("hot", "A", _at(0), "10:00", "10:00", None), ("j", "B", _at(0), None, None, "10:01")], PLAN)
-    ids = spark.range(300)
-    hot = F.col("id") % 3 > 0
-    seen = ids.select(
-        F.when(hot, "hot").otherwise("j").alias("rid"),
-        F.when(hot, "A").otherwise("B").alias("tpl"),
-        F.timestamp_seconds(F.col("id")).alias("event_time"),
-        F.lit("arr").alias("event_type"),
-        F.lit("10:05").alias("actual_time"),
+def test_forecast_counts_where_there_is_no_actual_time(spark):
+    plan = spark.createDataFrame([("r", "A", _at(0), "10:00", "10:02", None)], PLAN)
+    seen = spark.createDataFrame(
+        [("r", "A", _at(5), "arr", "10:05", "10:09"), ("r", "A", _at(6), "arr", None, "10:07"), ("r", "A", _at(7), "arr", None, None)],
+        SEEN + ", forecast_time string",
     )
-    got = delays.delay_calc(plan, seen, heavy_rows=20)
-    assert sorted(got.collect()) == sorted(delays.delay_calc(plan, seen).collect())
-    assert got.count() == 300
+    got = delays.delay_calc(plan, seen).orderBy("event_time").collect()
+    assert [r.delay for r in got] == [5.0, 7.0]
 
 
 def test_join_to_unique_spreads_a_hot_key(spark):
@@ -138,10 +133,10 @@ def test_buckets(spark):
     assert df.select(delays.lsh_bucket(F.lit(None).cast("array<double>"), normals)).first()[0] is None
 
 
-def test_wide_and_narrow_buckets_agree(spark):
+def test_buckets_do_not_depend_on_width(spark):
     wide = [n + [0.0] * 20 for n in delays.planes(6, 5)]
     rng = np.random.default_rng(1)
-    rows = [([float(x) for x in rng.normal(size=5)],) for _ in range(50)] + [(None,)]
+    rows = [([float(x) for x in rng.normal(size=5)],) for _ in range(50)] + [(None,), ([1.0, None, 0.5],), ([0.5] * 40,)]
     df = spark.createDataFrame(rows, "v array<double>")
     both = df.select(
         delays.lsh_bucket(F.col("v"), delays.planes(6, 5)).alias("a"), delays.lsh_bucket(F.col("v"), wide).alias("b")
@@ -168,9 +163,11 @@ def test_moments_of_union_equal_direct_moments(spark):
     seen = df.select("rid", "tpl", "event_time", F.lit("arr").alias("event_type"),
                      F.date_format(F.timestamp_seconds(F.col("delay") * 60 + 43200), "HH:mm").alias("actual_time"))
     plan = df.select("rid", "tpl", "event_time", F.lit("12:00").alias("wta"), F.lit("12:00").alias("wtd"), F.lit("12:00").alias("wtp"))
-    got = jobs.pattern_moments(plan, seen)
+    got = jobs.pattern_moments(plan, seen, work_dir(spark, "moments"))
     bucket = jobs.delay_patterns(plan, seen).select("rid", "bucket")
-    direct = delays.bucket_moments(delays.delay_calc(plan, seen).join(bucket, "rid"))
+    direct = delays.delay_calc(plan, seen).join(bucket, "rid").groupBy("bucket").agg(
+        F.count("delay").alias("n"), F.avg("delay").alias("mean"), F.var_pop("delay").alias("variance")
+    )
     for a, b in zip(got.orderBy("bucket").collect(), direct.orderBy("bucket").collect()):
         assert (a.bucket, a.n) == (b.bucket, b.n)
         assert a.mean == pytest.approx(b.mean) and a.variance == pytest.approx(b.variance)
@@ -183,6 +180,9 @@ def test_private_release(spark):
     assert sorted(r.noisy_count for r in counts.dp_noisy_count(df, "t").collect()) != once
     fresh = counts.dp_noisy_count(df)
     assert fresh.columns == ["window_end", "location", "noisy_count"]
-    moments = spark.createDataFrame([("01", 3, 4.0, 2.0)], "bucket string, n bigint, mean double, variance double")
-    row = delays.dp_moments(moments, "s").first()
-    assert row.n == 3 and row.noisy_mean != 4.0 and row.noisy_variance != 2.0
+    sums = spark.createDataFrame([("01", 3, 12.0, 60.0)], "bucket string, n bigint, total double, squares double")
+    row = delays.dp_moments(sums, "s").first()
+    assert row.noisy_n != 3 and -120 <= row.noisy_mean <= 120 and 0 <= row.noisy_variance <= 120**2
+    assert delays.dp_moments(sums, "s").first() == row
+    near = delays.dp_moments(sums, "s", epsilon=1e9).first()
+    assert (near.noisy_n, near.noisy_mean, near.noisy_variance) == pytest.approx((3, 4.0, 4.0), abs=1e-3)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feedlake import schemas
 from feedlake.operators import ingest, keyed
-from feedlake.operators.validate import validate_feed
+from feedlake.operators.validate import PUBLIC_TIME, validate_feed
 from feedlake.plans import jobs
 
 ROOT = '<Pport xmlns="urn:feed" xmlns:f="urn:status" xmlns:s="urn:plan" ts="2025-04-30T12:00:00" version="16.0">'
@@ -131,6 +131,13 @@ def test_snapshots_are_split_off(spark):
         ('tpl="PADTLL"', 'tpl="TOOLONGX"', "Location.tpl"),
         (">5</f:plat>", ">5ABC</f:plat>", "plat.VALUE"),
         ('act="TF"', 'act="tf"', "DT.act"),
+        ('ssd="2025-04-30"', 'ssd="2025-99-99"', "TS.ssd,schedule.ssd"),
+        ('ssd="2025-04-30"', 'ssd="2024-02-29Z"', None),
+        ('ssd="2025-04-30"', 'ssd="2025-02-29"', "TS.ssd,schedule.ssd"),
+        ('trainId="2A01"', 'trainId="2A01" rsid="GW1"', "schedule.rsid"),
+        ('trainId="2A01"', 'trainId="2A01" rsid="GW123400"', None),
+        ('src="TD"', 'src="TD" srcInst="AB"', "pass.srcInst"),
+        ('requestID="7"', 'requestID="a b"', "uR.requestID"),
     ],
 )
 def test_validation(spark, old, new, reason):
@@ -140,6 +147,11 @@ def test_validation(spark, old, new, reason):
     assert (row.reject_reason, row.valid) == (reason, reason is None)
 
 
+def test_patterns_match_the_whole_text(spark):
+    df = spark.createDataFrame([("12:30",), ("12:30\n",), ("\n12:30",)], "t string")
+    assert [r[0] for r in df.select(PUBLIC_TIME.holds(F.col("t"))).collect()] == [True, False, False]
+
+
 def test_missing_location_code_is_invalid(spark):
     assert validate_feed(_routed(spark, _update(PLAN))).first().reject_reason == "PP.tpl"
 
@@ -189,6 +201,29 @@ def test_keyed_json(spark):
     assert keyed.parse_keyed_json(df).columns == ["rid", "event_time", "payload"]
 
 
+def test_keyed_json_survives_odd_records(spark):
+    def record(seconds):
+        return f'{{"rid": "1", "processing_ts": {seconds}}}'
+
+    odd = [record(s) for s in ("1e300", "-1e300", "1e15", "-1e15", "null", "NaN")]
+    odd += ["\ufeff" + record(5), '{"rid": "1", "rid": "2", "processing_ts": 5, "processing_ts": 6}', record("253402300799")]
+    rows = keyed.parse_keyed_json(spark.createDataFrame([(v,) for v in odd], "value string"))
+    got = sorted((r.rid, r.at) for r in rows.select("rid", F.unix_millis("event_time").alias("at")).collect())
+    assert got == [("1", 253402300799000), ("2", 6000)]
+
+
+def test_message_headers(spark):
+    rows = [
+        ([("MessageType", b"TS"), ("PushPortSequence", b"1"), ("PushPortSequence", b"2"), ("Other", None)], 1.5, b"x"),
+        ([], 2.0, None),
+        (None, None, b"y"),
+    ]
+    df = spark.createDataFrame(rows, "headers array<struct<key: string, value: binary>>, t double, value binary")
+    df = df.withColumn("timestamp", F.timestamp_micros((F.col("t") * 1000000).cast("bigint")))
+    got = [tuple(r) for r in ingest.message_headers(df).collect()]
+    assert got == [("TS", "2", 1.5, b"x"), (None, None, 2.0, None), (None, None, None, b"y")]
+
+
 def test_typed_json(spark):
     values = ['{"rid":"a","window_end":"w"}', '{"rid":"b","minhash_signature":"oops"}', "{}", "{bad", "", None]
     df = spark.createDataFrame([(v,) for v in values], "value string")

@@ -41,11 +41,6 @@ def test_large_group_goes_through_partial_signatures(spark):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_empty_hash_set_gives_empty_signature(spark):
-    df = spark.createDataFrame([([],)], "hs array<bigint>")
-    assert df.select(sketches.signature_of(F.col("hs"))).first()[0] == []
-
-
 @some
 @given(st.sets(st.integers(0, 50), min_size=1), st.sets(st.integers(0, 50), min_size=1))
 def test_merge_is_union(spark, left, right):

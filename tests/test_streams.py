@@ -266,7 +266,7 @@ def test_kafka_options():
     }
 
 
-def test_work_dir_needs_a_shared_folder_on_a_cluster():
+def test_work_dir_needs_a_shared_folder():
     class Conf:
         def __init__(self, values):
             self.values = values
@@ -274,11 +274,28 @@ def test_work_dir_needs_a_shared_folder_on_a_cluster():
         def get(self, key, default=None):
             return self.values.get(key, default)
 
+    class Context:
+        def __init__(self, folder):
+            self.folder = folder
+
+        def getCheckpointDir(self):  # noqa: N802
+            return self.folder
+
     class Session:
-        def __init__(self, **values):
+        def __init__(self, folder=None, **values):
             self.conf = Conf({k.replace("_", "."): v for k, v in values.items()})
+            self.sparkContext = Context(folder)
 
     assert work_dir(Session(spark_checkpoint_dir="s3://b/x/"), "l").startswith("s3://b/x/feedlake/l-")
-    assert "feedlake-" in work_dir(Session(spark_master="local[2]"), "l")
-    with pytest.raises(ValueError):
-        work_dir(Session(spark_master="yarn"), "l")
+    assert work_dir(Session("s3://c"), "l").startswith("s3://c/feedlake/l-")
+    for master in ("yarn", "local[2]"):
+        with pytest.raises(ValueError):
+            work_dir(Session(spark_master=master), "l")
+
+
+def test_stream_of_a_folder_with_a_final_slash(spark):
+    base, out = work_dir(spark, "table"), work_dir(spark, "out")
+    spark.range(3).write.parquet(base)
+    stream = topics.parquet_stream(spark, base + "/", spark.range(1).schema)
+    streams.drain(stream, f"{out}/rows", f"{out}/checkpoint")
+    assert spark.read.parquet(f"{out}/rows").count() == 3
