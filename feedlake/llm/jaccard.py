@@ -7,12 +7,13 @@ most as many bits), so documents linked at a similarity of 0.8 agree on at least
 of the first ``d + 1`` filled segments, ``d`` being the largest difference a document
 of that size can have with a partner in the band. Those segments are the join keys.
 
-Equal sets are one node from the start. Of the nodes that share a key, each is first
-compared with the least one; that settles groups of near copies in as many
-comparisons as they have members. Components are formed, and only nodes of one key
-that are still in different components are compared among each other, behind the
-bound that their bit sketches give. Every comparison that passes the bound is verified
-on the whole sets; nothing is capped, so no link between different sets is lost.
+Equal sets are one node from the start. Each node is first compared with one other,
+that of the first nodes of its keys that it shares most keys with; that settles groups
+of near copies in as many comparisons as they have members. Components are formed, and
+only nodes of one key that are still in different components are compared among each
+other, behind the bound that their bit sketches give. Every comparison that passes the
+bound is verified on the whole sets; nothing is capped, so no link between different
+sets is lost.
 
 Null and empty texts, and texts without words, have an empty set and link with
 nothing. Documents without an id are returned without a component and link with
@@ -34,16 +35,17 @@ from feedlake.llm.store import settle
 
 #: Sets link when 100 * intersection >= 80 * union, that is when they differ by at most a ninth of their summed sizes.
 NINTH = 9
-#: Bits of the single-bit sketch that bounds a difference before a pair is verified.
-WIDTH = 256
+#: Bits of the single-bit sketches that bound a difference before a pair is verified. The narrow one
+#: travels with every pair; the wide one, which still tells sets of some thousands apart, with those it leaves.
+WIDTH, WIDE = 256, 2048
 #: Equal sets forgotten by a partition beyond this many; a later copy then costs shuffle, not correctness.
 REMEMBERED = 500_000
 #: Rows of at most some 100 bytes that may be broadcast.
 BROADCAST_ROWS = 200_000
-ROWS = "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint"
-KEYS = "key bigint, f1 bigint, f2 bigint"
 BITS = [f"b{i}" for i in range(WIDTH // 64)]
-SETS = "f1 bigint, f2 bigint, n bigint, " + ", ".join(f"{b} bigint" for b in BITS) + ", members binary"
+ROWS = "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, " + ", ".join(f"{b} bigint" for b in BITS) + ", wide array<bigint>"
+KEYS = "key bigint, f1 bigint, f2 bigint"
+SETS = "f1 bigint, f2 bigint, members binary"
 
 
 def names(schema: str) -> list[str]:
@@ -98,21 +100,26 @@ def sketch_keys(members: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-def bit_sketch(members: np.ndarray) -> list[int]:
-    """``WIDTH`` bits as signed 64-bit numbers, each bit the parity of the members dealt to it."""
-    dealt = shingles.mix(members ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(WIDTH)
-    return np.packbits(np.bincount(dealt.astype(np.int64), minlength=WIDTH).astype(np.uint8) & 1).view("<i8").tolist()
+def bit_sketch(members: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """``width`` bits as signed 64-bit numbers, each bit the parity of the members dealt to it."""
+    dealt = shingles.mix(members ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(width)
+    return np.packbits(np.bincount(dealt.astype(np.int64), minlength=width).astype(np.uint8) & 1).view("<i8")
 
 
 def set_sizes(texts: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles`` and the digest of the set, for each text."""
+    """``doc_id, n_shingles``, digest and bit sketch of the set, for each text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(len(s), *_digest(s)) for s in shingles.sets(batch.column(1))]
-            columns = [pa.array(c, pa.int64()) for c in zip(*found)]
+            found, wide = [], []
+            for s in shingles.sets(batch.column(1)):
+                found.append((len(s), *_digest(s), *bit_sketch(s).tolist()))
+                wide.append(bit_sketch(s, WIDE))
             if found:
-                yield pa.record_batch([batch.column(0).cast(pa.int64()), *columns], names(ROWS))
+                columns = [pa.array(c, pa.int64()) for c in zip(*found)]
+                ends = np.arange(len(wide) + 1, dtype=np.int32) * (WIDE // 64)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(wide)))
+                yield pa.record_batch([batch.column(0).cast(pa.int64()), *columns, lists], names(ROWS))
 
     return texts.mapInArrow(rows, ROWS)
 
@@ -183,15 +190,14 @@ def shared_keys(keys: DataFrame) -> DataFrame:
 
 
 def set_table(texts: DataFrame) -> DataFrame:
-    """Digest, size, bit sketch and members of each text's set."""
+    """Digest and members of each text's set."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, total = [], 0
             for members in shingles.sets(batch.column(1)):
-                if len(members):
-                    found.append((*_digest(members), len(members), *bit_sketch(members), members.tobytes()))
-                    total += len(members)
+                found.append((*_digest(members), members.tobytes()))
+                total += len(members)
                 if total > 500_000:
                     yield pa.record_batch([pa.array(c) for c in zip(*found)], names(SETS))
                     found, total = [], 0
@@ -201,31 +207,10 @@ def set_table(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(rows, SETS)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a1, a2, b1, b2`` whose sets are similar enough; sizes and bit sketches come before members."""
-    a, b = (_brief(sets, x) for x in "ab")
-    near = pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).where(_possible()).select("a1", "a2", "b1", "b2")
-    full = sets.select("f1", "f2", "members")
-    a, b = (full.toDF(f"{x}1", f"{x}2", f"m{x}") for x in "ab")
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = {n: batch.column(n) for n in ("ma", "mb")}
-            linked = []
-            for x, y in zip(columns["ma"], columns["mb"]):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                linked.append(100 * common >= 80 * (len(x) + len(y) - common))
-            yield batch.select(["a1", "a2", "b1", "b2"]).filter(pa.array(linked, pa.bool_()))
-
-    both = near.join(a, ["a1", "a2"]).join(b, ["b1", "b2"])
-    return both.mapInArrow(rows, "a1 bigint, a2 bigint, b1 bigint, b2 bigint")
-
-
-def _brief(sets: DataFrame, side: str, *also) -> DataFrame:
-    """Digest, size and bit sketch, with names for one side of a pair."""
-    named = [F.col(n).alias(side + n.removeprefix("f")) for n in ("f1", "f2", "n", *BITS)]
-    return sets.select(*also, *named)
+def _side(nodes: DataFrame, side: str, *also) -> DataFrame:
+    """Digest, node, size and bit sketch of nodes, named for one side of a pair."""
+    named = (F.col(c).alias(side + c.removeprefix("f")) for c in ("f1", "f2", "node", "n", *BITS))
+    return nodes.select(*also, *named)
 
 
 def _possible():
@@ -237,49 +222,97 @@ def _possible():
     return (NINTH * apart <= total) & (NINTH * F.abs(F.col("an") - F.col("bn")) <= total)
 
 
+def narrowed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs ``PAIR`` whose wide sketches leave room for the similarity."""
+    a, b = (nodes.select(*(F.col(c).alias(x + c.removeprefix("f")) for c in ("f1", "f2", "n", "wide"))) for x in "ab")
+    both = pairs.select(*PAIR).distinct().join(a, ["a1", "a2"]).join(b, ["b1", "b2"])
+    apart = F.aggregate(F.zip_with("awide", "bwide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, n: t + n)
+    return both.where(NINTH * apart <= F.col("an") + F.col("bn")).select(*PAIR)
+
+
+#: Members that one slice of a set's comparisons holds, about; a set with more is sent to several slices.
+MEMBERS = 2000
+PAIR = ("a1", "a2", "anode", "b1", "b2", "bnode")
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Edges ``u, v`` of the pairs ``PAIR`` whose whole sets, made again from the texts, are similar enough.
+
+    The second set of a pair travels to the first one's slice, where the first comes
+    before all of them; so a set is sent once per pair, and none is sent twice for being compared often.
+    """
+    pairs = settle(pairs.select(*PAIR).distinct(), "possible-pairs")
+    slices = pairs.groupBy("a1", "a2").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("slices"))
+    slice_ = F.pmod(F.xxhash64("b1", "b2"), F.col("slices")).cast("int").alias("slice")
+    second = pairs.join(slices, ["a1", "a2"]).select(
+        F.col("b1").alias("f1"), F.col("b2").alias("f2"), "a1", "a2", slice_, F.col("bnode").alias("node"), F.lit(1).alias("place")
+    )
+    every = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")
+    first = pairs.groupBy("a1", "a2").agg(F.min("anode").alias("node")).join(slices, ["a1", "a2"]).select(
+        F.col("a1").alias("f1"), F.col("a2").alias("f2"), "a1", "a2", every, "node", F.lit(0).alias("place")
+    )
+    places = small(settle(first.unionByName(second), "places"))
+    nodes = settle(pairs.select(F.explode(F.array("anode", "bnode")).alias("doc_id")).distinct(), "compared")
+    sets = set_table(texts.join(small(nodes), "doc_id", "left_semi"))
+    by = ("a1", "a2", "slice")
+    dealt = sets.join(places, ["f1", "f2"]).select(*by, "place", "node", "members")
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(parts, *by).sortWithinPartitions(*by, "place")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, held = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            found = []
+            for place, own, members in zip(*(batch.column(c).to_pylist() for c in ("place", "node", "members"))):
+                members = np.frombuffer(members, np.uint64)
+                if place == 0:
+                    node, held = own, members
+                    continue
+                union = len(np.union1d(held, members))
+                if 100 * (len(held) + len(members) - union) >= 80 * union:
+                    found.append((node, own))
+            if found:
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["u", "v"])
+
+    return settle(dealt.mapInArrow(rows, "u bigint, v bigint"), "links")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row."""
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     named = texts.where("doc_id IS NOT NULL")
     sizes = settle(set_sizes(texts), "set-sizes")
-    nodes = sizes.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    nodes = settle(nodes.groupBy("f1", "f2").agg(F.min("doc_id").alias("node")), "set-nodes")
+    nodes = sizes.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2")
+    alike = [*(F.min(c).alias(c) for c in BITS), F.first("wide").alias("wide")]  # equal sets have equal sketches
+    nodes = settle(nodes.agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("n"), *alike), "set-nodes")
 
     keys = keys_of(named)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = keys.repartition(parts, "key").sortWithinPartitions("key", "f1", "f2")
     shared = settle(shared_keys(keys), "shared-keys")
 
-    # The sets of every node that shares a key, made again from the texts.
-    involved = shared.select("f1", "f2").distinct().join(nodes, ["f1", "f2"]).select(F.col("node").alias("doc_id"))
-    involved = settle(involved.distinct(), "involved")
-    sets = settle(set_table(named.join(small(involved), "doc_id", "left_semi")), "sets")
-    sets = sets.dropDuplicates(["f1", "f2"])
-
-    stars = shared.where("f1 <> r1 OR f2 <> r2").select("r1", "r2", "f1", "f2").distinct().toDF("a1", "a2", "b1", "b2")
-    links = settle(_as_nodes(verified(stars, sets), nodes), "links")
+    # Each set against one: the first of a key, and of those the one it shares most keys with.
+    stars = shared.where("f1 <> r1 OR f2 <> r2").groupBy("r1", "r2", "f1", "f2").agg(F.count("*").alias("common"))
+    stars = stars.toDF("a1", "a2", "b1", "b2", "common")
+    stars = stars.join(_side(nodes, "a"), ["a1", "a2"]).join(_side(nodes, "b"), ["b1", "b2"]).where(_possible())
+    most = F.max_by(F.struct("a1", "a2", "anode"), F.struct("common", "a1", "a2")).alias("most")
+    stars = stars.groupBy("b1", "b2", "bnode").agg(most).select("most.*", "b1", "b2", "bnode")
+    links = verified(narrowed(stars, nodes), named)
     tops = settle(components(links), "star-components")
 
-    # Nodes of one key that the first links left apart.
-    at = shared.select("key", "f1", "f2").join(nodes, ["f1", "f2"]).join(tops, "node", "left")
+    # The sets of one key that those links left apart, against each other.
+    at = shared.select("key", "f1", "f2").join(nodes.drop("wide"), ["f1", "f2"]).join(tops, "node", "left")
     at = at.withColumn("component", F.coalesce("component", "node"))
     split = at.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rest = at.join(split.where("low < high").select("key"), "key", "left_semi")
-    rest = settle(rest.join(sets.drop("members"), ["f1", "f2"]), "apart")
-    a, b = (_brief(rest, x, "key", F.col("component").alias(f"{x}_component")) for x in "ab")
+    rest = settle(at.join(split.where("low < high").select("key"), "key", "left_semi"), "apart")
+    a, b = (_side(rest, s, "key", F.col("component").alias(f"{s}_component")) for s in "ab")
     pairs = a.join(b, "key").where((F.col("a_component") < F.col("b_component")) & _possible())
-    more = verified(pairs.select("a1", "a2", "b1", "b2").distinct(), sets)
-    more = settle(_as_nodes(more, nodes), "more-links")
+    more = verified(narrowed(pairs, nodes), named)
     if not more.isEmpty():
         tops = components(links.unionByName(more))
 
-    named_rows = sizes.join(nodes, ["f1", "f2"], "left").join(tops, "node", "left")
+    rows = sizes.select("doc_id", "n_shingles", "f1", "f2").join(nodes.select("f1", "f2", "node"), ["f1", "f2"], "left")
+    rows = rows.join(tops, "node", "left")
     linked = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), linked)
-    return named_rows.select("doc_id", "n_shingles", component.alias("component_id"))
-
-
-def _as_nodes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of digests as edges ``u, v`` between nodes."""
-    a, b = nodes.toDF("a1", "a2", "u"), nodes.toDF("b1", "b2", "v")
-    return pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("u", "v")
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"))
