@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Window and lateness of the join, and the names of the joined fields.
 JOIN_WINDOW = "30 seconds"
 WATERMARK = "5 seconds"
 

@@ -29,6 +29,7 @@ from feedlake.streaming import jobs as streams
 
 WINDOW = "1 day"
 SECRET = "check"
+END = "9999-01-01 12:00:00"
 VISITS = ev.STATUS_EVENTS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,8 +40,18 @@ def _prep(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _prep_stream(spark: SparkSession, d: str) -> DataFrame:
-    schema = ev.load(spark, d, "events").schema
-    return ev.prepared(topics.parquet_stream(spark, f"{d}/events.parquet", schema))
+    """The events as a stream that ends with a closing record.
+
+    Its time lies beyond all others, so the watermark passes every window of the table
+    once all rows are read; its own window stays open and is never given out.
+    """
+    events = ev.load(spark, d, "events")
+    end = f"{work_dir(spark, 'closing')}/record"
+    wanted = {"event_id": "-1", "user_id": "-1", "event_type": "'view'", "value": "0", "ts": f"TIMESTAMP_NTZ'{END}'"}
+    fields = [F.expr(wanted.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in events.schema]
+    spark.range(1).select(*fields).write.parquet(end)
+    stream = topics.parquet_stream(spark, f"{d}/events.parquet", events.schema)
+    return ev.prepared(stream.unionByName(topics.parquet_stream(spark, end, events.schema)))
 
 
 def _joined(spark: SparkSession, d: str) -> DataFrame:
@@ -462,7 +473,7 @@ def dp_noisy_count(spark, d):
 
 def stream_window_join(spark, d):
     prep = _prep_stream(spark, d)
-    stream = streams.join_stream(*_both_keyed(prep), WINDOW).drop("win")
+    stream = streams.join_stream(*_both_keyed(prep), WINDOW, slices=4).drop("win")
     return _drained(spark, stream, "join")
 
 
@@ -485,7 +496,11 @@ def stream_dp_count(spark, d):
 
 def stream_similarity(spark, d):
     base = work_dir(spark, "signatures")
-    jobs.signatures(_joined(spark, d), WINDOW).write.parquet(base)
+    signatures = jobs.signatures(_joined(spark, d), WINDOW)
+    closing = signatures.sparkSession.range(1).select(
+        F.lit("-1").alias("rid"), F.lit(f"{END}.000").alias("window_end"), F.array(F.lit(-1).cast("bigint")).alias("minhash_signature")
+    )
+    signatures.select(*closing.columns).unionByName(closing).write.parquet(base)
     source = topics.parquet_stream(spark, base, schemas.SIGNATURE)
     return _drained(spark, streams.similarity_stream(source), "similarity")
 

@@ -282,8 +282,8 @@ ORACLES: dict[str, str] = {
            FROM prep GROUP BY rid, window_end"""
     ),
     "multi_sink": _with(
-        f"SELECT *, s AS sink FROM counts, (VALUES ('topic'), ('files')) AS t(s) WHERE {_closed(_VISITS)}", _COUNTS
-    ).replace("SELECT *, s AS sink", "SELECT window_end, location, n_rids, s AS sink"),
+        "SELECT window_end, location, n_rids, s AS sink FROM counts, (VALUES ('topic'), ('files')) AS t(s)", _COUNTS
+    ),
     "decode_payload": (
         "SELECT doc_id, md5(text) AS body_md5, length(text) AS n_chars FROM documents"
     ),
@@ -404,19 +404,15 @@ FROM documents UNION ALL SELECT doc_id, 'Received null message' FROM documents W
     "dp_noisy_count": _with(f"SELECT window_end, location, {_NOISY} FROM counts", _COUNTS),
     "stream_window_join": _WINDOW_JOIN,
     "stream_minhash": _with(
-        f"{_DAILY_TEXT} WHERE {_closed()} GROUP BY rid, window_end", SIG, _DAILY
+        _DAILY_TEXT + " GROUP BY rid, window_end", SIG, _DAILY
     ),
     "stream_bloom": _with(
-        f"SELECT rid, window_end, bloom_filter_base64 FROM bl WHERE {_closed()}", BLO, _BLOOM
+        "SELECT rid, window_end, bloom_filter_base64 FROM bl", BLO, _BLOOM
     ),
     "stream_dp_count": _with(
-        f"SELECT window_end, location, {_NOISY} FROM counts WHERE {_closed(_VISITS)}", _COUNTS
-    ),
-    "stream_similarity": _with(
-        f"SELECT * FROM ({_PAIRS_OF.format('daily')}) WHERE CAST(window_end AS TIMESTAMP)"
-        " <= (SELECT max(CAST(window_end AS TIMESTAMP)) - INTERVAL '1 minute' FROM prep)",
-        SIG, _DAILY,
+        f"SELECT window_end, location, {_NOISY} FROM counts", _COUNTS
     ),
+    "stream_similarity": _with(_PAIRS_OF.format("daily"), SIG, _DAILY),
     "late_drop": _with(
         f"""SELECT window_end, count(*) AS n FROM prep
             WHERE {_closed()} AND (event_type NOT IN ('signup', 'error')

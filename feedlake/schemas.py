@@ -30,6 +30,8 @@ def _declared(columns: str) -> T.StructType:
     return _struct(**{name: _KINDS[kind] for name, kind in pairs})
 
 
+# The field names of the records and of the feed.
+
 # --- flat records --------------------------------------------------------------
 
 RAW_MESSAGE = _strings("message")
