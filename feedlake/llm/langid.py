@@ -223,7 +223,8 @@ def identify_pages(pages: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``page_id`` and the verdict per page, by its main text, its markup's language, and its address."""
     from feedlake.llm.html_text import extract
 
-    texts = extract(pages.select(F.struct("page_id", F.regexp_extract(F.coalesce("html", F.lit("")), MARKUP_LANGUAGE, 1).alias("said")).alias("page"), "url", "html"), "page")
+    said = F.regexp_extract(F.coalesce("html", F.lit("")), MARKUP_LANGUAGE, 1).alias("said")
+    texts = extract(pages.select(F.struct("page_id", said).alias("page"), "url", "html"), "page")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))
     host = F.when(host != "", host)
     suffix = F.element_at(F.split(host, r"\."), -1)

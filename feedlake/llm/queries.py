@@ -58,5 +58,20 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_shared_passages, op3_extract_text, op4_nearest, op5_language_id, page_languages, op6_jaccard_components, op7_pack_sequences, op8_decontaminate, op9_pii_spans, op10_token_counts)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity,
+        op2_shared_passages,
+        op3_extract_text,
+        op4_nearest,
+        op5_language_id,
+        page_languages,
+        op6_jaccard_components,
+        op7_pack_sequences,
+        op8_decontaminate,
+        op9_pii_spans,
+        op10_token_counts,
+    )
+}
 ORACLES = {"op8_decontaminate": sql_twins.DECONTAMINATE}

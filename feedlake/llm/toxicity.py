@@ -206,7 +206,8 @@ def score_toxicity(
     for_curve = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0
     grams = settle(letter_groups(word_counts(labelled.where(~for_curve))), "letter-groups")
     table = {r.piece: r.ratio for r in ratios(grams).collect()}  # at most 2 * SLOTS rows
-    sample = labelled.where(for_curve).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
+    chosen = known.where(for_curve).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
+    sample = texts.join(F.broadcast(settle(chosen, "curve-labels")), "doc_id")  # ids first, so that no texts are sorted
     rows = evidence(sample, table, "toxic").collect()
     curve = fitted_curve(*(np.array([r[c] for r in rows], float) for c in ("strongest", "overall", "toxic")))
 
