@@ -74,4 +74,7 @@ QUERIES = {
         op10_token_counts,
     )
 }
-ORACLES = {"op8_decontaminate": sql_twins.DECONTAMINATE}
+ORACLES = {
+    "op6_jaccard_components": sql_twins.JACCARD_COMPONENTS,
+    "op8_decontaminate": sql_twins.DECONTAMINATE,
+}

@@ -20,3 +20,24 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+JACCARD_COMPONENTS = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM worded WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * k >= 80 * (p.n + q.n - k)),
+reached(doc_id, top) AS (
+  SELECT doc_id, doc_id FROM sizes UNION SELECT links.b, reached.top FROM reached JOIN links ON links.a = reached.doc_id)
+SELECT d.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, coalesce(min(top), d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN reached USING (doc_id) GROUP BY d.doc_id
+"""
