@@ -10,8 +10,9 @@ of that size can have with a partner in the band. Those segments are the join ke
 Equal sets are one node from the start. Each node is first compared with one other,
 that of the first nodes of its keys that it shares most keys with; that settles groups
 of near copies in as many comparisons as they have members. Components are formed, and
-only nodes of one key that are still in different components are compared among each
-other, behind the bound that their bit sketches give. Every comparison that passes the
+those that meet on a key are compared by single pairs and joined, some times over. Only
+nodes of one key that are then still in different components are compared among each
+other, all behind the bounds that their bit sketches give. Every comparison that passes the
 bound is verified on the whole sets; nothing is capped, so no link between different
 sets is lost.
 
@@ -38,6 +39,8 @@ NINTH = 9
 #: Bits of the single-bit sketches that bound a difference before a pair is verified. The narrow one
 #: travels with every pair; the wide one, which still tells sets of some thousands apart, with those it leaves.
 WIDTH, WIDE = 256, 2048
+#: Times that components which meet on a key are compared by single pairs, before all that is left is compared.
+ROUNDS = 3
 #: Equal sets forgotten by a partition beyond this many; a later copy then costs shuffle, not correctness.
 REMEMBERED = 500_000
 #: Rows of at most some 100 bytes that may be broadcast.
@@ -213,11 +216,17 @@ def _side(nodes: DataFrame, side: str, *also) -> DataFrame:
     return nodes.select(*also, *named)
 
 
-def _possible():
-    """Whether sizes and sketches leave room for the similarity."""
+def _differing():
+    """Bits in which the narrow sketches of a pair differ."""
     apart = F.lit(0)
     for b in BITS:
         apart = apart + F.bit_count(F.col(f"a{b}").bitwiseXOR(F.col(f"b{b}")))
+    return apart
+
+
+def _possible():
+    """Whether sizes and sketches leave room for the similarity."""
+    apart = _differing()
     total = F.col("an") + F.col("bn")
     return (NINTH * apart <= total) & (NINTH * F.abs(F.col("an") - F.col("bn")) <= total)
 
@@ -277,6 +286,26 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return settle(dealt.mapInArrow(rows, "u bigint, v bigint"), "links")
 
 
+def _apart(shared: DataFrame, nodes: DataFrame, tops: DataFrame) -> DataFrame:
+    """The nodes of the keys on which several components meet, with their component."""
+    at = shared.select("key", "f1", "f2").join(nodes.drop("wide"), ["f1", "f2"]).join(tops, "node", "left")
+    at = at.withColumn("component", F.coalesce("component", "node"))
+    split = at.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return at.join(split.where("low < high").select("key"), "key", "left_semi")
+
+
+def _between_components(apart: DataFrame) -> DataFrame:
+    """One possible pair for every two components of which one is the first on a key that both have."""
+    whole = F.struct("f1", "f2", "node", "n", *BITS)
+    each = apart.groupBy("key", "component").agg(F.min_by(whole, F.struct("f1", "f2")).alias("one"))
+    first = each.groupBy("key").agg(F.min(F.struct("component", "one")).alias("first"))
+    a = _side(first.select("key", "first.component", "first.one.*"), "a", "key", F.col("component").alias("a_component"))
+    b = _side(each.select("key", "component", "one.*"), "b", "key", F.col("component").alias("b_component"))
+    pairs = a.join(b, "key").where((F.col("a_component") < F.col("b_component")) & _possible())
+    best = F.min_by(F.struct(*PAIR), F.struct(_differing() / (F.col("an") + F.col("bn")), "a1", "b1")).alias("best")
+    return pairs.groupBy("a_component", "b_component").agg(best).select("best.*")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row."""
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -300,12 +329,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = verified(narrowed(stars, nodes), named)
     tops = settle(components(links), "star-components")
 
-    # The sets of one key that those links left apart, against each other.
-    at = shared.select("key", "f1", "f2").join(nodes.drop("wide"), ["f1", "f2"]).join(tops, "node", "left")
-    at = at.withColumn("component", F.coalesce("component", "node"))
-    split = at.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rest = settle(at.join(split.where("low < high").select("key"), "key", "left_semi"), "apart")
-    a, b = (_side(rest, s, "key", F.col("component").alias(f"{s}_component")) for s in "ab")
+    # Of the components that meet on a key, each against the first, by one pair for every two components.
+    for _ in range(ROUNDS):
+        apart = settle(_apart(shared, nodes, tops), "apart")
+        more = verified(narrowed(_between_components(apart), nodes), named)
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        tops = settle(components(links), "components")
+    # What is still apart on a key, all against all.
+    apart = settle(_apart(shared, nodes, tops), "apart")
+    a, b = (_side(apart, x, "key", F.col("component").alias(f"{x}_component")) for x in "ab")
     pairs = a.join(b, "key").where((F.col("a_component") < F.col("b_component")) & _possible())
     more = verified(narrowed(pairs, nodes), named)
     if not more.isEmpty():
