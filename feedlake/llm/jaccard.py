@@ -36,11 +36,11 @@ from feedlake.llm.store import settle
 
 #: Sets link when 100 * intersection >= 80 * union, that is when they differ by at most a ninth of their summed sizes.
 NINTH = 9
-#: Bits of the single-bit sketches that bound a difference before a pair is verified. The narrow one
-#: travels with every pair; the wide one, which still tells sets of some thousands apart, with those it leaves.
-WIDTH, WIDE = 256, 2048
+#: Bits of the single-bit sketch that bounds a difference before a pair is verified and travels with every
+#: pair. The pairs that it leaves are tried by a sketch of two to four bits per member, which tells large sets apart.
+WIDTH = 256
 #: Times that components which meet on a key are compared by single pairs, before all that is left is compared.
-ROUNDS = 3
+ROUNDS = 1
 #: Equal sets forgotten by a partition beyond this many; a later copy then costs shuffle, not correctness.
 REMEMBERED = 500_000
 #: Rows of at most some 100 bytes that may be broadcast.
@@ -117,10 +117,10 @@ def set_sizes(texts: DataFrame) -> DataFrame:
             found, wide = [], []
             for s in shingles.sets(batch.column(1)):
                 found.append((len(s), *_digest(s), *bit_sketch(s).tolist()))
-                wide.append(bit_sketch(s, WIDE))
+                wide.append(bit_sketch(s, max(64, 2 << _band(len(s)))))
             if found:
                 columns = [pa.array(c, pa.int64()) for c in zip(*found)]
-                ends = np.arange(len(wide) + 1, dtype=np.int32) * (WIDE // 64)
+                ends = np.cumsum([0, *map(len, wide)], dtype=np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(wide)))
                 yield pa.record_batch([batch.column(0).cast(pa.int64()), *columns, lists], names(ROWS))
 
@@ -232,10 +232,21 @@ def _possible():
 
 
 def narrowed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs ``PAIR`` whose wide sketches leave room for the similarity."""
+    """The pairs ``PAIR`` whose wide sketches leave room for the similarity.
+
+    Possible partners lie in one size band or in two adjacent ones, so one sketch is at
+    most twice as wide; its halves laid over each other are the sketch of half the width.
+    """
     a, b = (nodes.select(*(F.col(c).alias(x + c.removeprefix("f")) for c in ("f1", "f2", "n", "wide"))) for x in "ab")
     both = pairs.select(*PAIR).distinct().join(a, ["a1", "a2"]).join(b, ["b1", "b2"])
-    apart = F.aggregate(F.zip_with("awide", "bwide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, n: t + n)
+    width = F.least(F.size("awide"), F.size("bwide"))
+
+    def folded(wide: str):
+        halves = F.zip_with(F.slice(wide, 1, width), F.slice(wide, width + 1, width), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(wide) > width, halves).otherwise(F.col(wide))
+
+    differing = F.zip_with(folded("awide"), folded("bwide"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(differing, F.lit(0), lambda t, n: t + n)
     return both.where(NINTH * apart <= F.col("an") + F.col("bn")).select(*PAIR)
 
 
