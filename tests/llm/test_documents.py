@@ -250,6 +250,36 @@ def test_passages_exact_and_fuzzy(spark):
     assert passages.shared_passages(documents(spark, [])).count() == 0
 
 
+def test_passages_with_other_words_between_are_both_found(spark):
+    rng, rows, want = random.Random(21), [], {}
+    own = lambda n: [f"own{rng.randrange(10**9)}" for _ in range(n)]
+    for n, (length, between) in enumerate([(60, 35), (60, 50), (60, 70), (100, 70), (100, 120), (60, 5)]):
+        head, foot = own(length), own(length)
+        rows += [(2 * n, head + own(between) + foot), (2 * n + 1, own(9) + head + own(between) + foot)]
+        want[2 * n] = {(0, length), (length + between, 2 * length + between)} if between > 5 else {(0, 2 * length + between)}
+    got = {}
+    for r in passages.shared_passages(documents(spark, [(i, " ".join(w)) for i, w in rows])).where("doc_id % 2 = 0").collect():
+        assert r.alike >= passages.ALIKE and (r.other_start, r.other_end) == (r.start + 9, r.end + 9)
+        got.setdefault(r.doc_id, set()).add((r.start, r.end))
+    assert got == want
+
+
+def test_stretches_cover_all_that_are_alike():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        same = np.concatenate([rng.random(n) < p for n, p in zip(rng.integers(5, 120, 5), rng.choice([0.05, 0.7, 0.8, 0.9, 1], 5))])
+        in_a, in_b = same | (rng.random(len(same)) < 0.9), np.ones(len(same), bool)
+        equal, words = np.r_[0, same.cumsum()], np.r_[0, in_a.cumsum()]
+        fits = lambda i, j: words[j] - words[i] >= passages.LEAST and 5 * (equal[j] - equal[i]) >= 4 * (j - i)
+        got = list(passages.stretches(same, in_a, in_b))
+        assert all(fits(i, j) and same[i] and same[j - 1] for i, j in got)
+        held = {k for i, j in got for k in range(i, j)}
+        want = [(i, j) for i in range(len(same)) for j in range(i + 1, len(same) + 1) if same[i] and same[j - 1] and fits(i, j)]
+        assert held == {k for i, j in want for k in range(i, j)}
+
+
 def test_passage_shared_by_many_stays_linear(spark):
     rng = random.Random(2)
     common = " ".join(f"c{n}" for n in range(55))
