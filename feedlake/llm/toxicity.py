@@ -6,8 +6,8 @@ continuation counts shared by both classes. The ordinary model backs off to them
 the toxic model's discounted mass goes to the ordinary one: where toxic text has shown
 nothing about an expression, both say the same, so rare and new words carry no
 evidence. The logarithm of the ratio is therefore needed for the toxic class's own
-letter groups only; that table has at most ``SLOTS`` entries per order (where two
-groups claim a slot, the more frequent one stays) and is the one thing broadcast.
+letter groups only. That table is broadcast if it is counted to have at most ``PIECES``
+rows; a longer one is joined to the distinct words' letter groups by shuffle.
 
 A text is judged by the ratio of the two likelihoods per letter, over the whole text
 and over its most suspicious word; a logistic curve fitted on labelled rows that the
@@ -37,7 +37,8 @@ ORDER = 6
 DISCOUNT = 0.75
 #: Discounts of toxic counts of one, two and more: what one document alone shows is no evidence.
 TOXIC_DISCOUNTS = (1.0, 1.5, 2.0)
-SLOTS = 1 << 19
+#: Letter groups and contexts that may be broadcast.
+PIECES = 1 << 20
 #: Labelled rows that the logistic curve is fitted on, at most; the counts take all others.
 CALIBRATION_ROWS = 20_000
 #: Labels that may be broadcast (16 bytes each); more are joined by shuffle.
@@ -135,11 +136,9 @@ def ratios(grams: DataFrame) -> DataFrame:
         F.greatest(F.col("ordinary") - DISCOUNT, F.lit(0)) / F.col("ordinary_all") + left["ordinary"] * F.col("lower"),
     ).otherwise(F.col("lower"))
     toxic = (F.col("toxic") - taken["toxic"]) / F.col("toxic_all") + left["toxic"] * ordinary
-    own = seen.select(F.col("gram").alias("piece"), F.log(toxic / ordinary).alias("ratio"), F.col("toxic").alias("n"))
-    rest = by_context.select(F.col("context").alias("piece"), F.log(left["toxic"]).alias("ratio"), F.col("toxic_all").alias("n"))
-    slot = F.pmod(F.xxhash64("piece"), F.lit(SLOTS))
-    both = own.unionByName(rest).groupBy(F.length("piece"), slot)
-    return both.agg(F.max_by(F.struct("piece", "ratio"), F.struct("n", "piece")).alias("kept")).select("kept.*")
+    own = seen.select(F.col("gram").alias("piece"), F.log(toxic / ordinary).alias("ratio"))
+    rest = by_context.select(F.col("context").alias("piece"), F.log(left["toxic"]).alias("ratio"))
+    return own.unionByName(rest)
 
 
 def word_ratio(word: str, table: dict[str, float]) -> float:
@@ -175,6 +174,43 @@ def evidence(texts: DataFrame, table: dict[str, float], *keep: str) -> DataFrame
     return texts.mapInArrow(judge, f"{kept_schema}, strongest double, overall double")
 
 
+def word_ratios(words: DataFrame, pieces: DataFrame) -> DataFrame:
+    """``word, ratio`` as by ``word_ratio``, for distinct words and a table of any size."""
+    padded = F.concat(F.lit(START * (ORDER - 1)), "word", F.lit(END))
+    starts = F.sequence(F.lit(1), F.length("word") + 1)
+    grams = words.select("word", padded.alias("padded"), F.explode(starts).alias("at"))
+    grams = grams.select("word", F.col("padded").substr(F.col("at"), F.lit(ORDER)).alias("gram"))
+    grams = grams.join(pieces.toDF("gram", "own"), "gram", "left").withColumn("context", _context())
+    grams = grams.join(pieces.toDF("context", "rest"), "context", "left")
+    return grams.groupBy("word").agg(F.sum(F.coalesce("own", "rest", F.lit(0.0))).alias("ratio"))
+
+
+def evidence_by_shuffle(texts: DataFrame, pieces: DataFrame, *keep: str) -> DataFrame:
+    """The rows of ``evidence`` without a broadcast table.
+
+    Words meet their ratios by shuffle and are summed up by the digest of their text;
+    copies of a text multiply its sums and its letters alike.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE):
+                digests, bodies = (c.slice(i, SLICE).to_pylist() for c in batch.columns)
+                found = [(d, w, n) for d, t in zip(digests, bodies) for w, n in Counter(WORDS(t.lower())).items()]
+                columns = [pa.array(c, t) for c, t in zip(zip(*found), (pa.binary(), pa.string(), pa.int64()))]
+                if columns:
+                    yield pa.record_batch(columns, ["digest", "word", "n"])
+
+    keyed = texts.select(F.unhex(F.md5("text")).alias("digest"), *keep, "text")
+    found = settle(keyed.select("digest", "text").mapInArrow(count, "digest binary, word string, n bigint"), "words")
+    by_word = settle(word_ratios(found.select("word").distinct(), pieces), "word-ratios")
+    letters = F.sum(F.col("n") * F.length("word"))
+    sums = found.join(by_word, "word").groupBy("digest")
+    sums = sums.agg(F.max("ratio").alias("strongest"), (F.sum(F.col("n") * F.col("ratio")) / letters).alias("overall"))
+    both = keyed.drop("text").join(sums, "digest", "left")
+    return both.select(*keep, *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("strongest", "overall")))
+
+
 def _inputs(strongest: np.ndarray, overall: np.ndarray) -> np.ndarray:
     return np.column_stack([np.clip(strongest, -2, 12), np.clip(overall * 20, -3, 3), np.ones(len(strongest))])
 
@@ -205,13 +241,16 @@ def score_toxicity(
     labelled = texts.join(known, "doc_id")
     for_curve = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0
     grams = settle(letter_groups(word_counts(labelled.where(~for_curve))), "letter-groups")
-    table = {r.piece: r.ratio for r in ratios(grams).collect()}  # at most 2 * SLOTS rows
+    pieces = settle(ratios(grams), "ratios")
+    judge, table = evidence_by_shuffle, pieces
+    if pieces.limit(PIECES + 1).count() <= PIECES:
+        judge, table = evidence, {r.piece: r.ratio for r in pieces.collect()}
     chosen = known.where(for_curve).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
     sample = texts.join(F.broadcast(settle(chosen, "curve-labels")), "doc_id")  # ids first, so that no texts are sorted
-    rows = evidence(sample, table, "toxic").collect()
+    rows = judge(sample, table, "toxic").collect()
     curve = fitted_curve(*(np.array([r[c] for r in rows], float) for c in ("strongest", "overall", "toxic")))
 
-    judged = evidence(texts, table, "doc_id")
+    judged = judge(texts, table, "doc_id")
     clipped = [F.greatest(F.lit(-2.0), F.least(F.lit(12.0), "strongest"))]
     clipped.append(F.greatest(F.lit(-3.0), F.least(F.lit(3.0), F.col("overall") * 20)))
     line = sum((c * float(w) for c, w in zip(clipped, curve)), F.lit(float(curve[2])))

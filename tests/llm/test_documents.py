@@ -193,6 +193,23 @@ def test_toxicity_on_held_out_rows(spark):
     assert len(nothing) == len(AWKWARD) and not any(r.predicted for r in nothing)
 
 
+def test_every_toxic_letter_group_keeps_its_ratio(spark):
+    grams = spark.range(6000).selectExpr("lpad(id, 6, 'x') AS gram", "1 + id % 3 AS toxic", "id % 2 AS ordinary")
+    contexts = grams.selectExpr("left(gram, 5)").distinct().count()
+    assert toxicity.ratios(grams).select("piece").distinct().count() == 6000 + contexts
+
+
+def test_a_table_too_long_to_broadcast_gives_the_same_scores(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["idiot", "tree", "house", "idiotic", "été", "i", "stone"]) for _ in range(9))) for i in range(200)]
+    rows += [(500 + n, t) for n, (_, t) in enumerate(AWKWARD)] + [(None, None), (3, rows[3][1])]
+    table = spark.createDataFrame([(i, int("idiot" in t)) for i, t in rows[:200]], "doc_id bigint, toxic int")
+    by_id = lambda: sorted((str(r.doc_id), round(r.score, 9), round(r.strongest, 9)) for r in toxicity.score_toxicity(documents(spark, rows), table).collect())
+    want = by_id()
+    monkeypatch.setattr(toxicity, "PIECES", 3)
+    assert by_id() == want and len(want) == len(rows)
+
+
 # --- languages -------------------------------------------------------------------
 
 
