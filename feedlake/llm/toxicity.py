@@ -238,15 +238,16 @@ def score_toxicity(
     known = settle(known.where(~held_out(F.col("doc_id"))), "labels")
     if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
-    labelled = texts.join(known, "doc_id")
     for_curve = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0
-    grams = settle(letter_groups(word_counts(labelled.where(~for_curve))), "letter-groups")
+    chosen = known.where(for_curve).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
+    chosen = F.broadcast(settle(chosen, "curve-labels"))  # ids first, so that no texts are sorted
+    labelled = texts.join(known, "doc_id").join(chosen.select("doc_id"), "doc_id", "left_anti")
+    grams = settle(letter_groups(word_counts(labelled)), "letter-groups")
     pieces = settle(ratios(grams), "ratios")
     judge, table = evidence_by_shuffle, pieces
     if pieces.limit(PIECES + 1).count() <= PIECES:
         judge, table = evidence, {r.piece: r.ratio for r in pieces.collect()}
-    chosen = known.where(for_curve).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
-    sample = texts.join(F.broadcast(settle(chosen, "curve-labels")), "doc_id")  # ids first, so that no texts are sorted
+    sample = texts.join(chosen, "doc_id")
     rows = judge(sample, table, "toxic").collect()
     curve = fitted_curve(*(np.array([r[c] for r in rows], float) for c in ("strongest", "overall", "toxic")))
 

@@ -210,6 +210,17 @@ def test_a_table_too_long_to_broadcast_gives_the_same_scores(spark, monkeypatch)
     assert by_id() == want and len(want) == len(rows)
 
 
+def test_all_labels_but_those_of_the_curve_are_counted(spark, monkeypatch):
+    counted, count = [], toxicity.word_counts
+    monkeypatch.setattr(toxicity, "word_counts", lambda rows: counted.append(rows.count()) or count(rows))
+    monkeypatch.setattr(toxicity, "CALIBRATION_ROWS", 5)
+    rows = [(i, f"some words {i % 7} of a text") for i in range(300)]
+    labels = spark.createDataFrame([(i, int(i % 7 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+    learned = labels.where(~toxicity.held_out(F.col("doc_id"))).count()
+    toxicity.score_toxicity(documents(spark, rows), labels)
+    assert counted == [learned - 5]
+
+
 # --- languages -------------------------------------------------------------------
 
 
