@@ -3,9 +3,11 @@
 A page is cut into blocks at its block-level tags. In the first pass a block is judged
 by where it stands (menus, footers, asides, forms, adverts, comments and the like are
 never main text; with an article element on the page, neither is anything outside it)
-and by link density, length and stop-word density. Blocks that are too short to tell
-stay ambiguous; in the second pass they inherit the label of the nearest decided
-neighbours, and inside an article count as main text unless both disagree.
+and by link density, length and stop-word density; on a page that no list of stop words
+fits, by link density and length alone. Blocks that are too short to tell stay
+ambiguous; in the second pass they inherit the label of the nearest decided neighbours,
+and inside an article count as main text unless both disagree. Of linked blocks inside
+an article only lists of links, two or more wholly linked blocks in a row, are furniture.
 
 Text is decoded, white space within a block becomes one space, blocks are joined by one
 space in page order. Null, empty and text-less pages give an empty text. Markup that
@@ -29,7 +31,7 @@ SLICE = 64
 #: Comments, raw-text elements with their content, tags, other declarations.
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|head|title|textarea|select|button|canvas)\b"
+    r"|<(script|style|noscript|template|svg|math|iframe|object|title|textarea|select|button|canvas)\b"
     r"(?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9-]*)([^<>]*)>"
@@ -43,6 +45,8 @@ BLOCKS = frozenset(
     " th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that hold the page or its main text, whatever their names say.
+WHOLE = frozenset("html body main article".split())
 #: Tags whose end may be left out: the next one of the same name ends them.
 OPEN_ENDED = frozenset("p li dt dd tr td th option".split())
 NEVER = frozenset("nav footer aside form menu dialog fieldset".split())
@@ -66,6 +70,12 @@ STOP_WORDS = frozenset(
 #: Characters: a block below SHORT says little, one from LONG on needs few stop words.
 SHORT, LONG = 70, 200
 LINKED, STOPS_LOW, STOPS_HIGH = 0.33, 0.15, 0.3
+#: Letters a word has at most, on average, in a text of words.
+LETTERS = 30
+#: A page with a smaller share of stop words outside links is in a language without a list.
+STOPS_FIT = 0.2
+#: Letters of scripts that write a word with one or two of them, and how many of others they count as.
+WIDE, WIDTH = re.compile(r"[\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\U00020000-\U0003ffff]"), 3
 GOOD, BAD, UNSURE = "good", "bad", "unsure"
 
 
@@ -88,7 +98,7 @@ def _place(tag: str, attributes: str, above: str) -> str:
     if attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
             value, name = "".join(values), name.lower()
-            if name in ("class", "id") and BAD_NAME.search(value):
+            if name in ("class", "id") and tag not in WHOLE and BAD_NAME.search(value):
                 return "never"
             if name == "role" and value.lower() in BAD_ROLE or name == "hidden" or name == "aria-hidden" and value == "true":
                 return "never"
@@ -159,17 +169,35 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-def first_pass(block: Block) -> str:
-    """A block's label by itself."""
-    n = len(block.text)
-    words = block.text.lower().split()
-    stops = sum(w.strip(".,;:!?*#%$&") in STOP_WORDS for w in words) / max(1, len(words))
+def _stops(text: str) -> tuple[int, int]:
+    """How many words are stop words, and how many there are."""
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?*#%$&") in STOP_WORDS for w in words), len(words)
+
+
+def _linked(block: Block) -> bool:
+    return block.linked > LINKED * len(block.text)
+
+
+def listed(page: list[Block]) -> bool:
+    """Whether the stop words fit the language of a page."""
+    found = [_stops(b.text) for b in page if b.place != "never" and not _linked(b)]
+    return sum(s for s, _ in found) >= STOPS_FIT * sum(n for _, n in found)
+
+
+def first_pass(block: Block, fits: bool = True) -> str:
+    """A block's label by itself; ``fits``: whether the stop words fit its page."""
     if block.place == "never":
         return BAD
-    if block.linked > LINKED * n:
-        return UNSURE if block.place == "main" and block.linked < n and n >= SHORT else BAD
-    if n < SHORT or block.heading:
+    if _linked(block):
+        return UNSURE if block.place == "main" else BAD
+    n, wide = len(block.text), 0 if fits else len(WIDE.findall(block.text))
+    if n + (WIDTH - 1) * wide < SHORT or block.heading:
         return UNSURE
+    found, words = _stops(block.text)
+    if not fits and (n <= LETTERS * words or 2 * wide >= n):
+        return GOOD
+    stops = found / max(1, words)
     if stops >= STOPS_HIGH or n >= LONG and stops >= STOPS_LOW:
         return GOOD
     if block.place == "main":
@@ -181,7 +209,12 @@ def labels(page: list[Block]) -> list[str]:
     """Final labels of the blocks of a page."""
     if any(b.place == "main" for b in page):
         page = [b if b.place == "main" else b._replace(place="never") for b in page]
-    first = [first_pass(b) for b in page]
+    fits = listed(page)
+    first = [first_pass(b, fits) for b in page]
+    lists = [b.place == "main" and not b.heading and b.linked >= len(b.text) for b in page]
+    for i in range(1, len(page)):
+        if lists[i - 1] and lists[i]:
+            first[i - 1] = first[i] = BAD
     decided = [i for i, x in enumerate(first) if x != UNSURE]
     final, k = [], 0  # k: how many decided blocks stand before i
     for i, own in enumerate(first):

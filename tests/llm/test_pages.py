@@ -22,6 +22,20 @@ CASES = [
 ]
 
 
+RUSSIAN = "Прошлой зимой мы жили у моря и каждый день ходили смотреть, как рыбаки чинят сети и лодки на берегу."
+CHINESE = "去年冬天我们住在海边,每天都去看渔民在岸上修理渔网和小船,晚上大家坐在一起讲故事。"
+GREEK = "Τον περασμένο χειμώνα μέναμε κοντά στη θάλασσα και κάθε μέρα βλέπαμε τους ψαράδες."
+CASES += [
+    (f"<article><p>{STORY}</p><p>See <a>the full report</a>.</p><p><a>All of it.</a></p><p>{STORY}</p></article>", f"{STORY} See the full report. All of it. {STORY}"),
+    (f"<article><h2><a href=x>A title</a></h2><p>{STORY}</p><ul><li><a>One</a><li><a>Two</a></ul></article>", f"A title {STORY}"),
+    *((f"<div><a href=x>{t[:9]}</a></div><div>{t}</div><div>{t[:20]}</div><div>{t}</div>", f"{t} {t[:20].strip()} {t}") for t in (RUSSIAN, GREEK)),
+    (f"<div><a href=x>{CHINESE[:4]}</a></div><div>{CHINESE}</div>", CHINESE),
+    (f"<html class='no-js menu'><body class='has-sidebar sidebar'><main id=comments><article class='post hidden'><p>{STORY}</p></article></main></body></html>", STORY),
+    (f"<html><head><title>T</title><meta charset=utf-8><body><p>{STORY}</p></body></html>", STORY),
+    (f"<head><title>T</title><style>p{{}}</style><p>{STORY}</p>", STORY),
+]
+
+
 @pytest.mark.parametrize(("html", "text"), CASES)
 def test_pages(html, text):
     got = html_text.main_text(html)
