@@ -36,7 +36,8 @@ SHARED, STEP, UNSEEN = 200.0, 20.0, 1.0
 BROADCAST_ROWS = 200_000
 MEMORY, SLICE = 400_000, 256
 WORDS = re.compile(r"[^\W\d_]+").findall
-MARKUP_LANGUAGE = r"(?is)^.{0,2000}?<html\b[^>]*?\slang\s*=\s*[\"']?([a-z]{2,3})\b"
+COMMENT, HTML_TAG = r"(?s)<!--.*?(?:-->|$)", r"(?i)<html\b[^>]*>"
+MARKUP_LANGUAGE = r"(?i)\slang\s*=\s*[\"']?([a-z]{2,3})\b"
 HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
@@ -219,11 +220,17 @@ def identify_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     return identify(rows, threshold).withColumnRenamed("id", "doc_id")
 
 
+def markup_language(html: Column) -> Column:
+    """The language of a page's first html tag outside comments, or an empty string."""
+    tag = F.regexp_extract(F.regexp_replace(F.coalesce(html, F.lit("")), COMMENT, ""), HTML_TAG, 0)
+    return F.regexp_extract(tag, MARKUP_LANGUAGE, 1)
+
+
 def identify_pages(pages: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``page_id`` and the verdict per page, by its main text, its markup's language, and its address."""
     from feedlake.llm.html_text import extract
 
-    said = F.regexp_extract(F.coalesce("html", F.lit("")), MARKUP_LANGUAGE, 1).alias("said")
+    said = markup_language(F.col("html")).alias("said")
     texts = extract(pages.select(F.struct("page_id", said).alias("page"), "url", "html"), "page")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))
     host = F.when(host != "", host)

@@ -248,6 +248,19 @@ def test_languages_of_awkward_rows(spark):
     assert not any(r.accepted for r in langid.identify_documents(nobody).collect())
 
 
+def test_markup_language_is_found_wherever_the_tag_stands(spark):
+    pages = [
+        ("<!-- " + "x " * 5000 + "<html lang=fr> --><!DOCTYPE html>" + " " * 3000 + "<HTML class='a' lang='de-AT'>text", "de"),
+        ("<!DOCTYPE html><html lang=en><p>", "en"),
+        ("<html><p lang=es>", ""),
+        ("<!-- <html lang=en>" + "y" * 50_000, ""),
+        (None, ""),
+    ]
+    df = spark.createDataFrame([(n, h) for n, (h, _) in enumerate(pages)], "n int, html string")
+    got = dict(df.select("n", langid.markup_language(F.col("html"))).collect())
+    assert got == {n: want for n, (_, want) in enumerate(pages)}
+
+
 # --- passages --------------------------------------------------------------------
 
 
