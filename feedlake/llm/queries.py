@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedlake.llm import decontam, html_text, jaccard, langid, neighbours, packing, passages, pii, sql_twins, token_counts, toxicity
+from feedlake.llm import (
+    decontam, html_text, infill, jaccard, langid, neighbours, packing, passages, pii, sql_twins, token_counts, token_files,
+    toxicity, vector_codes,
+)
 from feedlake.llm.store import new_path
 
 
@@ -58,6 +62,30 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"))
 
 
+def op11_vector_codes(spark, sf_dir):
+    codes, books = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_label_errors(codes)
+    digest = F.lit(vector_codes.books_digest(books))
+    return rows.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+def op12_token_files(spark, sf_dir):
+    """The rows come from the files that were written."""
+    path = new_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path)
+    ids = token_files.read_token_files(spark, path)
+    return ids.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    made = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    text = infill.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,9 +100,14 @@ QUERIES = {
         op8_decontaminate,
         op9_pii_spans,
         op10_token_counts,
+        op11_vector_codes,
+        op12_token_files,
+        op13_fill_in_middle,
     )
 }
 ORACLES = {
     "op6_jaccard_components": sql_twins.JACCARD_COMPONENTS,
     "op8_decontaminate": sql_twins.DECONTAMINATE,
+    "op11_vector_codes": sql_twins.VECTOR_CODES,
+    "op13_fill_in_middle": sql_twins.FILL_IN_MIDDLE,
 }
