@@ -3,9 +3,11 @@
 A document's shingles are dealt by hash into the segments of a sketch, and each
 toggles its own random 64-bit pattern there. Two sketches of a size band differ in at
 most as many segments as the sets have elements apart (and single toggled bits in at
-most as many bits), so documents linked at a similarity of 0.8 agree on at least one
-of the first ``d + 1`` filled segments, ``d`` being the largest difference a document
-of that size can have with a partner in the band. Those segments are the join keys.
+most as many bits), so documents linked at a similarity of 0.8 agree on all but ``d`` of their
+filled segments, ``d`` being the largest difference a document of that size can have
+with a partner in the band. Put in one order, the first ``d + 1`` filled segments of both
+then have one in common; they are the join keys. The order is by the number of
+members, as a segment of few members is also that of documents with little in common.
 
 Equal sets are one node from the start. Each node is first compared with one other,
 that of the first nodes of its keys that it shares most keys with; that settles groups
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm import shingles
@@ -39,10 +41,12 @@ NINTH = 9
 #: Bits of the single-bit sketch that bounds a difference before a pair is verified and travels with every
 #: pair. The pairs that it leaves are tried by a sketch of two to four bits per member, which tells large sets apart.
 WIDTH = 256
+#: Words of 64 bits of the sketch that bounds the pairs of the last comparison.
+MIDDLE = 16
 #: Times that components which meet on a key are compared by single pairs, before all that is left is compared.
 ROUNDS = 1
 #: Equal sets forgotten by a partition beyond this many; a later copy then costs shuffle, not correctness.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 #: Rows of at most some 100 bytes that may be broadcast.
 BROADCAST_ROWS = 200_000
 BITS = [f"b{i}" for i in range(WIDTH // 64)]
@@ -75,7 +79,7 @@ def _band(n: int) -> int:
 def _segments(band: int) -> int:
     """Segments of a band's sketch: filled ones suffice for the largest documents, with room for small ones."""
     largest = (1 << band) - 1
-    return 2 * largest // NINTH * 21 // 20 + 8
+    return 2 * largest // NINTH * 13 // 10 + 8
 
 
 def sketch_keys(members: np.ndarray) -> np.ndarray:
@@ -94,7 +98,9 @@ def sketch_keys(members: np.ndarray) -> np.ndarray:
         tag = shingles.mix(segment[starts] + np.uint64(band << 40))
         keys = shingles.mix(np.bitwise_xor.reduceat(patterns, starts) + tag)
         if len(keys) > apart:
-            keys = keys[: apart + 1]
+            # Segments that agree hold equally many members, so both sets of a pair put them in the same order.
+            held = np.diff(starts, append=n)
+            keys = keys[np.lexsort((keys, -held))[: apart + 1]]
         else:
             # Too few filled segments: two such sets might agree on empty ones alone.
             empty = np.setdiff1d(np.arange(m, dtype=np.uint64), segment[starts])
@@ -231,23 +237,30 @@ def _possible():
     return (NINTH * apart <= total) & (NINTH * F.abs(F.col("an") - F.col("bn")) <= total)
 
 
+def _folded(sketch: Column, width: Column) -> Column:
+    """The sketch of ``width`` words that a wider one implies: words of equal remainder laid over each other."""
+    def over(i: Column) -> Column:
+        every = F.sequence(i, F.size(sketch) - 1, width)
+        return F.aggregate(every, F.lit(0).cast("bigint"), lambda t, j: t.bitwiseXOR(F.get(sketch, j)))
+
+    return F.when(F.size(sketch) > width, F.transform(F.sequence(F.lit(0), width - 1), over)).otherwise(sketch)
+
+
+def _wide_enough(one: Column, other: Column) -> Column:
+    """Whether two sketches, which may differ in width, leave room for the similarity of a pair."""
+    width = F.least(F.size(one), F.size(other))
+    differing = F.zip_with(_folded(one, width), _folded(other, width), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return NINTH * F.aggregate(differing, F.lit(0), lambda t, n: t + n) <= F.col("an") + F.col("bn")
+
+
 def narrowed(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs ``PAIR`` whose wide sketches leave room for the similarity.
 
-    Possible partners lie in one size band or in two adjacent ones, so one sketch is at
-    most twice as wide; its halves laid over each other are the sketch of half the width.
+    Possible partners lie in one size band or in two adjacent ones, so one sketch is at most twice as wide.
     """
     a, b = (nodes.select(*(F.col(c).alias(x + c.removeprefix("f")) for c in ("f1", "f2", "n", "wide"))) for x in "ab")
     both = pairs.select(*PAIR).distinct().join(a, ["a1", "a2"]).join(b, ["b1", "b2"])
-    width = F.least(F.size("awide"), F.size("bwide"))
-
-    def folded(wide: str):
-        halves = F.zip_with(F.slice(wide, 1, width), F.slice(wide, width + 1, width), lambda x, y: x.bitwiseXOR(y))
-        return F.when(F.size(wide) > width, halves).otherwise(F.col(wide))
-
-    differing = F.zip_with(folded("awide"), folded("bwide"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    apart = F.aggregate(differing, F.lit(0), lambda t, n: t + n)
-    return both.where(NINTH * apart <= F.col("an") + F.col("bn")).select(*PAIR)
+    return both.where(_wide_enough(F.col("awide"), F.col("bwide"))).select(*PAIR)
 
 
 #: Members that one slice of a set's comparisons holds, about; a set with more is sent to several slices.
@@ -298,11 +311,16 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _apart(shared: DataFrame, nodes: DataFrame, tops: DataFrame) -> DataFrame:
-    """The nodes of the keys on which several components meet, with their component."""
+    """The nodes of the keys on which several components meet, with their component.
+
+    Keys that the same nodes hold would give the same pairs, so only one of them stays.
+    """
     at = shared.select("key", "f1", "f2").join(nodes.drop("wide"), ["f1", "f2"]).join(tops, "node", "left")
     at = at.withColumn("component", F.coalesce("component", "node"))
-    split = at.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return at.join(split.where("low < high").select("key"), "key", "left_semi")
+    holders = [F.bit_xor(F.xxhash64("f1", F.lit(i), "f2")).alias(f"h{i}") for i in range(2)]
+    least, most = F.min("component").alias("low"), F.max("component").alias("high")
+    split = at.groupBy("key").agg(least, most, F.count("*").alias("h"), *holders).where("low < high")
+    return at.join(split.groupBy("h", "h0", "h1").agg(F.min("key").alias("key")), "key", "left_semi")
 
 
 def _between_components(apart: DataFrame) -> DataFrame:
@@ -348,10 +366,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             break
         links = links.unionByName(more)
         tops = settle(components(links), "components")
-    # What is still apart on a key, all against all.
-    apart = settle(_apart(shared, nodes, tops), "apart")
-    a, b = (_side(apart, x, "key", F.col("component").alias(f"{x}_component")) for x in "ab")
-    pairs = a.join(b, "key").where((F.col("a_component") < F.col("b_component")) & _possible())
+    # What is still apart on a key, all against all behind a wider sketch.
+    apart = _apart(shared, nodes, tops).join(nodes.select("f1", "f2", _folded(F.col("wide"), F.lit(MIDDLE)).alias("middle")), ["f1", "f2"])
+    apart = settle(apart, "apart")
+    a, b = (_side(apart, x, "key", F.col("component").alias(f"{x}_component"), F.col("middle").alias(f"{x}_middle")) for x in "ab")
+    alike = _possible() & _wide_enough(F.col("a_middle"), F.col("b_middle"))
+    pairs = a.join(b, "key").where((F.col("a_component") < F.col("b_component")) & alike)
     more = verified(narrowed(pairs, nodes), named)
     if not more.isEmpty():
         tops = components(links.unionByName(more))
