@@ -102,16 +102,20 @@ def text_evidence(rows: DataFrame, codes: list[str], table: dict[str, np.ndarray
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nothing, held = np.zeros(len(codes) + 1), []
+        values, used = np.zeros((1 << 12, len(codes) + 1)), 0
 
         def place(word: str) -> int:
-            own = nothing.copy()
+            nonlocal values, used
+            if used == len(values):
+                values = np.concatenate([values, np.zeros_like(values)])
+            own = values[used]
+            own[:] = 0
             for gram in trigrams(word):
                 if (found := shared.value.get(gram)) is not None:
                     own[:-1] += found
             own[-1] = len(word)
-            held.append(own)
-            return len(held) - 1
+            used += 1
+            return used - 1
 
         known = Memory(place, MEMORY)
         for batch in batches:
@@ -119,12 +123,11 @@ def text_evidence(rows: DataFrame, codes: list[str], table: dict[str, np.ndarray
             for i in range(0, len(column), SLICE):
                 texts = column.slice(i, SLICE).to_pylist()
                 places = [list(map(known.__getitem__, WORDS(t.lower()))) for t in texts]
-                values = np.array(held).reshape(-1, len(codes) + 1)
                 sums = [values[p].sum(axis=0) for p in places]
                 found = [(s[:-1] * min(1.0, WORTH / s[-1])).tolist() if s[-1] else None for s in sums]
                 kept = [batch.column(n).slice(i, SLICE) for n in keep]
                 yield pa.record_batch([*kept, pa.array(found, pa.list_(pa.float64()))], [*keep, "evidence"])
-                del held[len(known) :]  # words beyond the memory
+                used = len(known)  # words beyond the memory are forgotten
 
     return rows.mapInArrow(score, f"{schema}, evidence array<double>")
 
