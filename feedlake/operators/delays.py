@@ -38,14 +38,14 @@ def latest_plan(schedule: DataFrame) -> DataFrame:
     return schedule.groupBy("rid", "tpl").agg(latest.alias("planned"))
 
 
-def _reported(ts: DataFrame) -> DataFrame:
+def reported(ts: DataFrame) -> DataFrame:
     """Status rows with a time: the actual one, else the forecast."""
     forecast = F.col("forecast_time") if "forecast_time" in ts.columns else F.lit(None).cast("string")
     reported = F.coalesce("actual_time", forecast).alias("reported_time")
     return ts.select("rid", "tpl", "event_time", "event_type", reported).filter("reported_time IS NOT NULL")
 
 
-def _measured(met: DataFrame) -> DataFrame:
+def measured(met: DataFrame) -> DataFrame:
     """Delay of reported rows that met their plan."""
     planned = (
         F.when(F.col("event_type") == "arr", F.col("planned.wta"))
@@ -67,12 +67,41 @@ def delay_calc(schedule: DataFrame, ts: DataFrame) -> DataFrame:
     multiply, and the reduction combines on the map side. Each side is read once;
     adaptive execution splits the status rows of a very busy (journey, location).
     """
-    return _measured(_reported(ts).join(latest_plan(schedule), ["rid", "tpl"]))
+    return measured(reported(ts).join(latest_plan(schedule), ["rid", "tpl"]))
+
+
+def delay_as_of(schedule: DataFrame, ts: DataFrame, chunk: str = "1 day") -> DataFrame:
+    """:func:`delay_calc` with the plan in force when the status row was sent, not the table's latest one.
+
+    In force is the last schedule row of the journey and location up to the status row's
+    own time. The rows of a pair are cut by time into chunks that are ordered apart; a
+    chunk takes one row from those before it, the last plan, so no task orders a hot pair
+    as a whole.
+    """
+    times = F.struct("wta", "wtd", "wtp")
+    plans = schedule.filter("rid IS NOT NULL AND tpl IS NOT NULL AND event_time IS NOT NULL")
+    plans = plans.groupBy("rid", "tpl", "event_time").agg(F.max(times).alias("planned"))
+    rows = plans.withColumn("event_type", F.lit(None).cast("string")).withColumn("reported_time", F.lit(None).cast("string"))
+    status = reported(ts).filter("rid IS NOT NULL AND tpl IS NOT NULL AND event_time IS NOT NULL")
+    both = rows.unionByName(status.withColumn("planned", F.lit(None).cast(plans.schema["planned"].dataType)))
+    both = both.withColumn("chunk", F.window("event_time", chunk)["start"])
+    pair = ["rid", "tpl"]
+    last = F.max_by("planned", F.when(F.col("planned").isNotNull(), F.col("event_time")))
+    ends = both.groupBy(*pair, "chunk").agg(last.alias("last"))
+    before = Window.partitionBy(*pair).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*pair, "chunk", F.last("last", ignorenulls=True).over(before).alias("carried"))
+    both = both.join(carried, [*pair, "chunk"])
+    # A schedule row of the same moment is in force already.
+    since = Window.partitionBy(*pair, "chunk").orderBy("event_time", F.col("planned").isNull())
+    in_force = F.coalesce(F.last("planned", ignorenulls=True).over(since.rowsBetween(Window.unboundedPreceding, 0)), "carried")
+    met = both.withColumn("planned", F.struct(in_force.alias("p"), F.col("planned").isNull().alias("status")))
+    met = met.filter("planned.status AND planned.p IS NOT NULL")
+    return measured(met.withColumn("planned", F.col("planned.p")))
 
 
 def delays_against(plan: DataFrame, ts: DataFrame) -> DataFrame:
     """:func:`delay_calc` for a status stream against a table made by :func:`latest_plan`."""
-    return _measured(_reported(ts).join(plan, ["rid", "tpl"]))
+    return measured(reported(ts).join(plan, ["rid", "tpl"]))
 
 
 def delay_vector(delays: DataFrame, length: int = VECTOR_LENGTH) -> DataFrame:

@@ -8,7 +8,7 @@ queries use one day.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +25,12 @@ from feedlake.plans import jobs
 from feedlake.session import work_dir
 from feedlake.sources import events as ev
 from feedlake.sources import sinks, topics
+from feedlake.streaming import chain, clock, plans
 from feedlake.streaming import jobs as streams
 
 WINDOW = "1 day"
 SECRET = "check"
-END = "9999-01-01 12:00:00"
+END, LATER = "9999-01-01 12:00:00", "9999-01-11 12:00:00"
 VISITS = ev.STATUS_EVENTS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,17 +40,19 @@ def _prep(spark: SparkSession, d: str) -> DataFrame:
     return ev.prepared(ev.load(spark, d, "events"))
 
 
-def _prep_stream(spark: SparkSession, d: str) -> DataFrame:
+def _prep_stream(spark: SparkSession, d: str, ends: Sequence[str] = (END,)) -> DataFrame:
     """The events as a stream that ends with a closing record.
 
     Its time lies beyond all others, so the watermark passes every window of the table
-    once all rows are read; its own window stays open and is never given out.
+    once all rows are read; its own window stays open and is never given out. Streams in a
+    row need one more per stream, each later than the one before.
     """
     events = ev.load(spark, d, "events")
     end = f"{work_dir(spark, 'closing')}/record"
-    wanted = {"event_id": "-1", "user_id": "-1", "event_type": "'view'", "value": "0", "ts": f"TIMESTAMP_NTZ'{END}'"}
+    wanted = {"event_id": "-1", "user_id": "-1", "event_type": "'view'", "value": "0", "ts": "at"}
     fields = [F.expr(wanted.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in events.schema]
-    spark.range(1).select(*fields).write.parquet(end)
+    times = F.array(*(F.lit(e).cast("timestamp_ntz") for e in ends))
+    spark.range(1).select(F.explode(times).alias("at")).select(*fields).write.parquet(end)
     stream = topics.parquet_stream(spark, f"{d}/events.parquet", events.schema)
     return ev.prepared(stream.unionByName(topics.parquet_stream(spark, end, events.schema)))
 
@@ -505,6 +508,23 @@ def stream_similarity(spark, d):
     return _drained(spark, streams.similarity_stream(source), "similarity")
 
 
+def stream_chain(spark, d):
+    """Join, signatures and similarity as three streams in a row, the later ones over what the former have finished."""
+    base = work_dir(spark, "chain")
+    sides = [lambda i=i: _both_keyed(_prep_stream(spark, d, (END, LATER)))[i] for i in (0, 1)]
+    return chain.Chain(spark, *sides, base, WINDOW, WINDOW, slices=4).result()
+
+
+def arrival_window_count(spark, d):
+    """All events arrive in one batch, so their window of two seconds holds the whole table; no record comes after it."""
+    base = work_dir(spark, "arrival")
+    source = topics.parquet_stream(spark, f"{d}/events.parquet", ev.load(spark, d, "events").schema)
+    stream = clock.arrival_count_stream(ev.joined_like(ev.prepared(source)), 2000, VISITS, slices=2)
+    clock.run_until_idle(stream, f"{base}/out", f"{base}/checkpoint")
+    out = spark.read.schema(stream.schema).parquet(f"{base}/out")
+    return out.groupBy("location").agg(F.sum("n_rids").alias("n_rids"), F.count_distinct("window_end").alias("windows"))
+
+
 def late_drop(spark, d):
     """Three deliveries into one stream; the last two come after the watermark has passed most windows."""
     prep, base = _prep(spark, d), work_dir(spark, "late")
@@ -537,12 +557,28 @@ def _vector_columns(vector: str) -> list[Column]:
     ]
 
 
-def delay_calc(spark, d):
-    return _delays(spark, d).select(
+def _delay_columns(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "rid", "tpl", window_text(F.col("event_time")).alias("event_time"), F.round("delay", 6).alias("delay")
     )
 
 
+def delay_calc(spark, d):
+    return _delay_columns(_delays(spark, d))
+
+
+def delay_as_of(spark, d):
+    prep = _prep(spark, d)
+    return _delay_columns(delays.delay_as_of(ev.schedule_side(prep), ev.status_side(prep)))
+
+
+def stream_delay(spark, d):
+    """The same as a stream: schedule and status rows in one, the plan kept as state in versions."""
+    prep = _prep_stream(spark, d)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", clock.STATE_PROVIDER)
+    return _delay_columns(_drained(spark, plans.delay_stream(ev.schedule_side(prep), ev.status_side(prep)), "as-of"))
+
+
 def delay_vector(spark, d):
     return delays.delay_vector(_delays(spark, d)).select("rid", *_vector_columns("delays"))
 
@@ -665,9 +701,13 @@ QUERIES: dict[str, Query] = {
     "stream_bloom": stream_bloom,
     "stream_dp_count": stream_dp_count,
     "stream_similarity": stream_similarity,
+    "stream_chain": stream_chain,
+    "arrival_window_count": arrival_window_count,
     "late_drop": late_drop,
     "stream_delay_vector": stream_delay_vector,
     "delay_calc": delay_calc,
+    "delay_as_of": delay_as_of,
+    "stream_delay": stream_delay,
     "delay_vector": delay_vector,
     "running_delay_vector": running_delay_vector,
     "lsh_bucket": lsh_bucket,

@@ -231,6 +231,15 @@ gaps AS (
 delays AS (
   SELECT rid, tpl, ts, CASE WHEN gap > 720 THEN gap - 1440 WHEN gap < -720 THEN gap + 1440 ELSE gap END AS delay
   FROM gaps)"""
+# The plan in force at the status row's own time, instead of the latest one.
+_AS_OF = f"""
+gaps AS (
+  SELECT t.rid, t.tpl, t.ts, {_CLOCK.format('t.reported')} - {_CLOCK.format('p.planned')} AS gap
+  FROM stat t ASOF JOIN (SELECT rid, tpl, ts, max(clock) AS planned FROM sched GROUP BY rid, tpl, ts) p
+    ON t.rid = p.rid AND t.tpl = p.tpl AND t.ts >= p.ts),
+delays AS (
+  SELECT rid, tpl, ts, CASE WHEN gap > 720 THEN gap - 1440 WHEN gap < -720 THEN gap + 1440 ELSE gap END AS delay
+  FROM gaps)"""
 _VECTORS = f"""
 newest AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY ts DESC, tpl DESC, delay DESC) AS k FROM delays),
 vectors AS (SELECT rid, list(delay ORDER BY k DESC) AS v FROM newest WHERE k <= {VECTOR_LENGTH} GROUP BY rid)"""
@@ -389,6 +398,16 @@ FROM documents UNION ALL SELECT doc_id, 'Received null message' FROM documents W
         SIG,
         _minima("joined", "concat_ws('|', sch_tpl, ts_tpl, event_type)", "rid, window_end", "joint"),
     ),
+    "stream_chain": _with(
+        _PAIRS_OF.format("joint"),
+        _JOINED,
+        SIG,
+        _minima("joined", "concat_ws('|', sch_tpl, ts_tpl, event_type)", "rid, window_end", "joint"),
+    ),
+    "arrival_window_count": _with(
+        f"""SELECT tpl AS location, CAST(count(DISTINCT rid) AS BIGINT) AS n_rids, CAST(1 AS BIGINT) AS windows
+            FROM prep WHERE event_type IN ('click', 'error', 'view') GROUP BY tpl"""
+    ),
     "bloom_agg": _with("SELECT rid, window_end, bloom_filter_base64 FROM bl", BLO, _BLOOM),
     "bloom_merge": _with(
         "SELECT rid, bloom_filter_base64 FROM whole", BLO, _NULLED, _bloom("nulled", "rid", "tpl", "whole")
@@ -422,6 +441,12 @@ FROM documents UNION ALL SELECT doc_id, 'Received null message' FROM documents W
     "delay_calc": _with(
         f"SELECT rid, tpl, strftime(ts, {_STAMP}) AS event_time, round(delay, 6) AS delay FROM delays", _DELAYS
     ),
+    "delay_as_of": _with(
+        f"SELECT rid, tpl, strftime(ts, {_STAMP}) AS event_time, round(delay, 6) AS delay FROM delays", _AS_OF
+    ),
+    "stream_delay": _with(
+        f"SELECT rid, tpl, strftime(ts, {_STAMP}) AS event_time, round(delay, 6) AS delay FROM delays", _AS_OF
+    ),
     "delay_vector": _with(f"SELECT rid, {_VECTOR_COLUMNS} FROM vectors", _DELAYS, _VECTORS),
     "stream_delay_vector": _with(f"SELECT rid, {_VECTOR_COLUMNS} FROM vectors", _DELAYS, _VECTORS),
     "running_delay_vector": _with(

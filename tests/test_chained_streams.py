@@ -1,0 +1,107 @@
+"""Streams in a row, windows that close by the clock, and plans kept as state."""
+
+import glob
+import os
+import random
+import shutil
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from test_streams import JOINED, SIDE, START, STATUS, Feed, _at
+
+from feedlake.operators import delays, joins
+from feedlake.operators.similar import similar_pairs
+from feedlake.plans import jobs
+from feedlake.session import work_dir
+from feedlake.streaming import chain, clock, plans
+from feedlake.streaming import jobs as streams
+
+
+def _journeys(seed):
+    rng = random.Random(seed)
+    plan = [(f"j{rng.randrange(5)}", _at(rng.randrange(170)), "U", f"S{rng.randrange(3)}", None, None, None) for _ in range(60)]
+    seen = [
+        (f"j{rng.randrange(5)}", _at(rng.randrange(170)), None, f"T{rng.randrange(3)}", None, None, None, None, None, "arr", None)
+        for _ in range(60)
+    ]
+    return plan, seen
+
+
+def _ends():
+    times = [START + timedelta(days=1), START + timedelta(days=2)]
+    return [("end", t, None, "S", None, None, None) for t in times]
+
+
+def test_chain_survives_a_death_between_its_streams(spark):
+    plan, seen = _journeys(1)
+    left, right, base = Feed(spark, SIDE), Feed(spark, STATUS), work_dir(spark, "chain")
+    made = chain.Chain(spark, left.stream, right.stream, base, "30 seconds", "1 minute", delay="200 seconds")
+    left.deliver(plan[:30])
+    right.deliver(seen[:25])
+    made.drain("joined")
+    # Dead after its rows were written and before its batch was finished: the batch is run again.
+    commits = sorted(glob.glob(f"{base}/checkpoints/joined/commits/[0-9]*".removeprefix("file:")), key=lambda p: int(os.path.basename(p)))
+    os.remove(commits[-1])
+    os.remove(os.path.join(os.path.dirname(commits[-1]), f".{os.path.basename(commits[-1])}.crc"))
+    # What a batch that never finished has written is in the folder but not in the log.
+    folder = made.folder("joined").removeprefix("file:")
+    shutil.copy(sorted(glob.glob(f"{folder}/part-*.parquet"))[0], f"{folder}/part-stray.parquet")
+    left.deliver(plan[30:])
+    made.drain("joined")
+    made.drain("signatures")
+    right.deliver(seen[25:] + [(*row, None, None, "arr", None) for row in _ends()])
+    left.deliver(_ends())
+    got = sorted(map(tuple, made.result().collect()))
+
+    features = joins.journey_features(spark.createDataFrame(plan, SIDE), spark.createDataFrame(seen, STATUS))
+    features = features.withColumn("event_time", F.col("win.start"))
+    want = similar_pairs(jobs.signatures(features, "1 minute"), scratch=work_dir(spark, "pairs"))
+    assert got == sorted(map(tuple, want.select("window_end", "rid1", "rid2", "similarity").collect())) != []
+
+
+def test_arrival_windows_close_without_another_record(spark):
+    feed = Feed(spark, JOINED)
+    feed.deliver([(f"j{k % 7}", _at(k), "A", f"T{k % 2}", "arr" if k % 5 else "none") for k in range(40)])
+    want = {(f"T{t}", len({k % 7 for k in range(40) if k % 5 and k % 2 == t})) for t in range(2)}
+    for _ in range(2):
+        clock.run_until_idle(clock.arrival_count_stream(feed.stream(), 1000), f"{feed.base}/out", f"{feed.base}/checkpoint", limit=90)
+        rows = spark.read.parquet(f"{feed.base}/out").collect()
+        assert {(r.location, r.n_rids) for r in rows} == want
+        feed.deliver([(f"j{k % 7}", _at(k), "A", f"T{k % 2}", "arr" if k % 5 else "none") for k in range(40)])
+    assert len(rows) == 4 and len({r.window_end for r in rows}) == 2  # later arrivals are another window
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_delays_follow_the_plan_of_their_own_time(spark, seed):
+    rng = random.Random(seed)
+    clocks = [f"{rng.randrange(24):02}:{rng.randrange(60):02}" for _ in range(8)]
+    plan = [(f"j{rng.randrange(3)}", _at(rng.randrange(400)), "U", f"L{rng.randrange(2)}", *rng.choices([None, *clocks], k=3)) for _ in range(80)]
+    seen = [
+        (f"j{rng.randrange(3)}", _at(rng.randrange(400)), None, f"L{rng.randrange(2)}", None, None, None, None, None,
+         rng.choice(["arr", "dep", "pass"]), rng.choice([None, *clocks]))
+        for _ in range(80)
+    ]
+    want = {}
+    for rid, at, _, tpl, *_, kind, actual in seen:
+        known = [(p[1], [(t is not None, t or "") for t in p[4:]], p[4:]) for p in plan if p[0] == rid and p[3] == tpl and p[1] <= at]
+        if known and actual:
+            times = max(known)[2]
+            planned = times[("arr", "dep", "pass").index(kind)] or next((t for t in times if t), None)
+            if planned:
+                minutes = [int(t[:2]) * 60 + int(t[3:]) for t in (actual, planned)]
+                gap = minutes[0] - minutes[1]
+                gap += 1440 if gap < -720 else -1440 if gap > 720 else 0
+                want.setdefault((rid, tpl, at), []).append(float(gap))
+    batch = delays.delay_as_of(spark.createDataFrame(plan, SIDE), spark.createDataFrame(seen, STATUS), chunk="90 seconds")
+    left, right, out = Feed(spark, SIDE), Feed(spark, STATUS), Feed(spark, JOINED)
+    # Status rows come before the schedule rows that were sent before them.
+    for plans_now, seen_now in ((plan[40:], seen[:40]), (plan[:40], seen[40:]), ([], [])):
+        left.deliver(plans_now or [("end", _at(90_000), None, "L0", None, None, None)])
+        right.deliver(seen_now or [("end", _at(90_000), None, "L0", None, None, None, None, None, "arr", "10:00")])
+        streams.drain(plans.delay_stream(left.stream(), right.stream(), "500 seconds"), f"{out.base}/out", f"{out.base}/checkpoint")
+    for rows in (batch.collect(), spark.read.parquet(f"{out.base}/out").collect()):
+        got = {}
+        for r in rows:
+            got.setdefault((r.rid, r.tpl, r.event_time), []).append(r.delay)
+        assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
