@@ -1,9 +1,9 @@
 """Token ids of a corpus as files of 64-bit words, written and read through a Spark data source.
 
-Each document is encoded, closed with an end id and coded in blocks (see ``simple8b``).
-The coded documents, not their texts, are dealt by ranges of ids and sorted, and each
-task writes files of its range; the folder's index, written last and at once, lists the
-files of successful tasks with the number of ids before each. A task that is lost and
+The texts are dealt by ranges of ids and sorted. Each task encodes its range, closes every
+document with an end id, codes it in blocks (see ``simple8b``) and writes files of them;
+the folder's index, written last and at once, lists the files of successful tasks with
+the number of ids before each. A task that is lost and
 run again leaves a file that no index names. A file holds the ids and lengths of its
 documents, where each block's words and escapes end, then the words and the escapes, so
 any run of blocks is decoded as one array.
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from feedlake.llm import simple8b
-from feedlake.llm.store import settle
 from feedlake.llm.tokens import TokenIds, tokenizer_path
 
 END_ID = 2
@@ -261,12 +260,12 @@ def write_token_files(
     store, at = _store(path)
     store.create_dir(at, recursive=True)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = settle(coded_documents(texts, tokenizer_path(tokenizer), end_id), "coded-documents")
-    # One id may be that of very many rows; their content splits them.
-    order = ["doc_id", F.xxhash64("words", "escapes"), "words", "escapes"]
+    # One id may be that of very many rows; their content splits them. Only these two are sampled for the ranges.
+    order = ["doc_id", F.xxhash64("text")]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    rows.write.format("token_files").mode("append").save(path)
+    texts = texts.repartitionByRange(parts, *order).sortWithinPartitions(*order, "text")
+    coded = coded_documents(texts, tokenizer_path(tokenizer), end_id)
+    coded.write.format("token_files").mode("append").save(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

@@ -99,10 +99,26 @@ def _packed(ids: list[int]) -> bytes:
 
 
 class TokenIds(_Encoder):
-    """Ids of texts, as unsigned little-endian 32-bit numbers, by a file that lower-cases and drops white space."""
+    """Ids of texts, as unsigned little-endian 32-bit numbers, by a file that lower-cases and drops white space.
+
+    A piece is a chunk of its own elsewhere, so both share one memory.
+    """
 
     join = staticmethod(b"".join)
 
+    def __init__(self, path: str, memory: int = MEMORY):
+        super().__init__(path, memory)
+        self.pieces = self.known = Memory(self._chunk, memory)
+
+    def _chunk(self, chunk: str) -> bytes:
+        pieces = self.split(chunk)
+        return self._piece(chunk) if len(pieces) == 1 else self.join([self.known[p] for p in pieces])
+
+    def _piece(self, piece: str) -> bytes:
+        if piece.isascii():  # without white space every byte is its own letter
+            return _packed([t.id for t in self.model.tokenize(piece)])
+        return super()._piece(piece)
+
     @staticmethod
     def kept(tokens) -> bytes:
         return _packed([t.id for t in tokens])
