@@ -4,9 +4,11 @@ Documents are encoded once, closed with an end id and cut where longer than a
 sequence. Only the histogram of piece lengths (at most one row per token of a
 sequence) reaches the driver. There few-document length patterns are enumerated,
 their repeat counts fitted to the histogram by non-negative least squares and rounded
-down to what is there; the remaining lengths, and the room the patterns leave, are
-packed best fit, longest first, still on counts. The plan that results says which
-ranks of each length go where, and every piece finds its place by its rank.
+to what is there; the remaining lengths, and the room the patterns leave, are
+packed best fit, longest first, still on counts. Patterns that use up lengths which the
+rest would have needed can do worse than best fit alone, so that plan is made as well and
+never exceeded. The plan says which ranks of each length go where, and every piece finds
+its place by its rank.
 
 Null and empty texts are one piece holding the end id alone. Null and repeated ids
 are packed like any other. An empty table gives no rows. Other columns are ignored.
@@ -65,56 +67,62 @@ PIECE_TYPES = [pa.int32() if x.endswith(" int") else pa.int64() for x in PIECES.
 
 
 def patterns(lengths: list[int], capacity: int, choices: int = 8) -> list[tuple[int, ...]]:
-    """Patterns of one to three lengths, each longest first, the fullest first.
+    """Patterns of up to three lengths, the fullest first; the last length is repeated as often as it fits.
 
     For a longest length the second takes the best fit and evenly spread smaller ones, the third the best fit to the rest.
     """
-    found = {(capacity,)} & {(n,) for n in lengths}
+    found = set()
 
     def fit(room: int, longest: int) -> int:
         return bisect_right(lengths, min(room, longest)) - 1
 
     for a in lengths:
+        found.add((a,) * (capacity // a))
         last = fit(capacity - a, a)
         if last < 0:
-            if a < capacity:
-                found.add((a,))
             continue
         for i in {last, *np.linspace(0, last, choices).astype(int).tolist()}:
             b = lengths[i]
+            found.add((a, *(b,) * ((capacity - a) // b)))
             third = fit(capacity - a - b, b)
-            found.add((a, b) if third < 0 else (a, b, lengths[third]))
-        found.add((a, lengths[last]))
+            if third >= 0:
+                c = lengths[third]
+                found.add((a, b, *(c,) * ((capacity - a - b) // c)))
     return sorted(found, key=lambda p: (capacity - sum(p), p))
 
 
-def fitted(shapes: list[tuple[int, ...]], counts: dict[int, int], sweeps: int = 6) -> np.ndarray:
-    """Repeat counts of the patterns that fit the histogram best, by coordinate descent on non-negative least squares."""
+def fitted(shapes: list[tuple[int, ...]], counts: dict[int, int], sweeps: int = 60, settled: float = 0.5) -> np.ndarray:
+    """Repeat counts of the patterns that fit the histogram best, by coordinate descent on non-negative least squares.
+
+    It ends once no count changes by more than ``settled`` in a sweep; counts are rounded down afterwards.
+    """
     left = {n: float(c) for n, c in counts.items()}
     times = np.zeros(len(shapes))
     columns = [list(Counter(s).items()) for s in shapes]
     norms = [sum(k * k for _, k in c) for c in columns]
     for _ in range(sweeps):
+        most = 0.0
         for j, column in enumerate(columns):
             step = max(-times[j], sum(k * left[n] for n, k in column) / norms[j])
             if step:
                 times[j] += step
+                most = max(most, abs(step))
                 for n, k in column:
                     left[n] -= k * step
+        if most <= settled:
+            break
     return times
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """Groups of lengths that share a sequence, with how many such sequences there are."""
-    left = dict(counts)
-    shapes = patterns(sorted(left), capacity)
-    open_groups: dict[int, list[tuple[tuple[int, ...], int]]] = {}  # by room
-    for shape, times in zip(shapes, fitted(shapes, counts)):
-        n = min(int(times + 1e-6), *(left[x] // k for x, k in Counter(shape).items()))
-        if n > 0:
-            for x in shape:
-                left[x] -= n
-            open_groups.setdefault(capacity - sum(shape), []).append((shape, n))
+Groups = list[tuple[tuple[int, ...], int]]
+
+
+def best_fit(left: dict[int, int], groups: Groups, capacity: int) -> Groups:
+    """The groups, and all lengths that are left packed into their room or new sequences: longest first, tightest room first."""
+    left = dict(left)
+    open_groups: dict[int, Groups] = {}  # by room
+    for shape, n in groups:
+        open_groups.setdefault(capacity - sum(shape), []).append((shape, n))
     rooms = sorted(open_groups)
     for x in sorted(left, reverse=True):
         while left[x] > 0:
@@ -125,7 +133,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
                 if not open_groups[room]:
                     del open_groups[room]
                     rooms.pop(at)
-                deep = 1
+                deep = min(room // x, left[x])
             else:
                 # As many of this length as one sequence holds go in together.
                 room, shape, deep = capacity, (), min(capacity // x, left[x])
@@ -140,6 +148,33 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
     return [g for groups in open_groups.values() for g in groups]
 
 
+#: Room, as a share of a sequence, that the patterns of a plan may leave.
+WASTES = (0.0, 0.0005, 0.002, 0.01)
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Groups:
+    """Groups of lengths that share a sequence, with how many such sequences there are.
+
+    Patterns that leave little room are fitted to the histogram, rounded to what is there,
+    and the rest is packed best fit. Of the plans for each share of room allowed the one
+    with the fewest sequences is taken, or that without patterns if it has fewer still.
+    """
+    shapes = patterns(sorted(counts), capacity)
+    plans = []
+    for waste in WASTES:
+        full = [s for s in shapes if capacity - sum(s) <= waste * capacity]
+        left, groups = dict(counts), []
+        for shape, times in zip(full, fitted(full, counts)):
+            n = min(int(times + 0.5), *(left[x] // k for x, k in Counter(shape).items()))
+            if n > 0:
+                for x in shape:
+                    left[x] -= n
+                groups.append((shape, n))
+        plans.append(best_fit(left, groups, capacity))
+    plans.append(best_fit(counts, [], capacity))
+    return min(plans, key=lambda groups: sum(n for _, n in groups))
+
+
 def runs(groups: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
     """Rows ``length, first rank, first sequence, offset``, by length and rank."""
     rows, used, sequence = [], Counter(), 0

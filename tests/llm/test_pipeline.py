@@ -43,3 +43,15 @@ def test_stages_take_awkward_rows(spark, small):
         if texts:
             ids = [r.doc_id for r in docs.where("piece = 0").collect()]
             assert sorted(i for i in ids if i is not None) == [1, 6, 7]
+
+
+def test_rows_of_one_id_are_judged_apart(spark, small):
+    item = next(r.text for r in spark.read.parquet(f"{small}/benchmark.parquet").collect() if len(r.text.split()) > 12)
+    plain = [" ".join(f"{w}{n}" for n in range(40)) for w in ("some", "other", "third")]
+    rows = [(1, plain[0]), (1, f"{plain[1]} {item}"), (None, f"{item} {plain[2]}"), (None, plain[2]), (3, plain[2]), (2, plain[2]), (2, "")]
+    docs = documents(spark, rows)
+    kept = settle(STAGES["benchmark decontamination"](spark, docs, small), "s")
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {rows[0], *rows[3:]}
+    kept = settle(STAGES["n-gram Jaccard join"](spark, docs, small), "s")
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {*rows[:3], rows[5], rows[6]}

@@ -1,9 +1,11 @@
 """Chunked encoding, token counts with their cache, and packing."""
 
+import bisect
 import random
 import struct
 import zlib
 
+import numpy as np
 import pytest
 from feedlake.llm import packing, token_counts
 from feedlake.llm.tokens import TokenCounter, TokenIds, tokenizer_path
@@ -84,17 +86,57 @@ def test_packing_is_tight(spark, small):
     assert n <= -(-sum(r.length for r in rows) // 1000) * 1.01 + 1
 
 
-@pytest.mark.parametrize("capacity", [5, 64, 1000])
-def test_plans_place_each_length_once(capacity):
-    rng = random.Random(capacity)
-    counts = {rng.randint(1, capacity): rng.randint(1, 400) for _ in range(60)}
-    groups = packing.plan(counts, capacity)
-    used = dict.fromkeys(counts, 0)
-    for shape, n in groups:
-        assert sum(shape) <= capacity and n > 0
-        for x in shape:
-            used[x] += n
-    assert used == counts
-    least = -(-sum(x * n for x, n in counts.items()) // capacity)
-    halves = sum(n for x, n in counts.items() if 2 * x > capacity)
-    assert sum(n for _, n in groups) <= max(least * 1.12, halves) + 2
+def best_fit_plainly(counts, capacity):
+    """Sequences that best-fit decreasing takes, item by item."""
+    rooms = []
+    for x in sorted(counts, reverse=True):
+        for _ in range(counts[x]):
+            at = bisect.bisect_left(rooms, x)
+            room = rooms.pop(at) if at < len(rooms) else capacity
+            bisect.insort(rooms, room - x)
+    return len(rooms)
+
+
+def least_sequences(counts, capacity):
+    """A number of sequences below which no packing goes: by volume, by long lengths, by dual feasible functions."""
+    xs = np.array(sorted(counts))
+    ns = np.array([counts[x] for x in xs.tolist()], dtype=float)
+    best = np.ceil((xs * ns).sum() / capacity)
+    for k in {0, *xs[2 * xs <= capacity].tolist()}:
+        large, small = 2 * xs > capacity, (xs >= k) & (2 * xs <= capacity)
+        room = ((capacity - xs) * ns)[large & (xs <= capacity - k)].sum()
+        best = max(best, ns[large].sum() + max(0, np.ceil(((xs * ns)[small].sum() - room) / capacity)))
+    for k in range(1, 60):
+        scaled = xs * (k + 1) / capacity
+        whole = np.isclose(scaled, np.round(scaled))
+        best = max(best, np.ceil((np.where(whole, xs / capacity, np.floor(scaled) / k) * ns).sum() - 1e-6))
+    return int(best)
+
+
+def test_plans_place_each_length_once_and_beat_best_fit():
+    worst = 0
+    for seed in range(200):
+        rng = random.Random(seed)
+        capacity = rng.choice([5, 64, 1000, 4096])
+        low, high = rng.choice([(1, capacity), (max(1, capacity // 8), capacity), (1, max(1, capacity // 3))])
+        counts = {rng.randint(low, high): rng.randint(1, 60) for _ in range(60)}
+        groups = packing.plan(counts, capacity)
+        used = dict.fromkeys(counts, 0)
+        for shape, n in groups:
+            assert sum(shape) <= capacity and n > 0
+            for x in shape:
+                used[x] += n
+        assert used == counts
+        made = sum(n for _, n in groups)
+        assert made <= best_fit_plainly(counts, capacity)
+        if capacity == 4096:
+            worst = max(worst, made / least_sequences(counts, capacity))
+    assert worst < 1.05
+
+
+def test_patterns_alone_fill_what_they_can():
+    counts = {3000: 500, 1096: 500, 2048: 300, 1365: 900, 1366: 300}
+    full = [s for s in packing.patterns(sorted(counts), 4096) if sum(s) == 4096]
+    times = dict(zip(full, packing.fitted(full, counts)))
+    assert round(times[3000, 1096]) == 500 and round(times[2048, 2048]) == 150
+    assert sum(n for _, n in packing.plan(counts)) == -(-sum(x * n for x, n in counts.items()) // 4096)
