@@ -213,20 +213,30 @@ def lsh_bucket(vector: Column, normals: Sequence[Sequence[float]]) -> Column:
     return F.when(vector.isNotNull(), F.concat(*[side(n) for n in normals]))
 
 
-def dp_moments(sums: DataFrame, secret: str | None = None, bound: float = DELAY_BOUND, epsilon: float = 1.0) -> DataFrame:
+def dp_moments(
+    sums: DataFrame,
+    secret: str | None = None,
+    bound: float = DELAY_BOUND,
+    epsilon: float = 1.0,
+    rows: int = 1,
+    release: str | None = None,
+) -> DataFrame:
     """``bucket, noisy_n, noisy_mean, noisy_variance`` from ``bucket, n, total, squares`` of clipped delays.
 
-    One delay changes the count by 1, the sum by at most ``bound`` and the sum of squares
-    by at most ``bound`` squared. Each of the three gets Laplace noise for a third of
-    ``epsilon``; mean and variance are computed from the noisy sums alone and held
-    within what clipped delays can give.
+    For one person's ``rows`` delays, all in one bucket, the count changes by ``rows``, the
+    sum by at most ``rows * bound`` and the sum of squares by at most ``rows * bound ** 2``.
+    Each of the three gets Laplace noise for a third of ``epsilon``; mean and variance are
+    computed from the noisy sums alone and held within what clipped delays can give. With
+    the default of one row this protects a single delay that leaves its journey's bucket
+    as it is, no more; ``privacy.release_moments`` protects whole journeys.
     """
+    named = [F.lit(release)] if release is not None else []
 
     def noisy(column: str, sensitivity: float) -> Column:
-        uniform = keyed_uniform(secret, F.col("bucket"), F.lit(column)) if secret else None
+        uniform = keyed_uniform(secret, F.col("bucket"), F.lit(column), *named) if secret else None
         return add_laplace_noise(F.col(column), sensitivity, epsilon / 3, uniform).alias(column)
 
-    limits = {"n": 1.0, "total": bound, "squares": bound * bound}
+    limits = {"n": float(rows), "total": rows * bound, "squares": rows * bound * bound}
     drawn = sums.select("bucket", *[noisy(c, s) for c, s in limits.items()])
     count = F.greatest(F.col("n"), F.lit(1.0))
     mean = F.greatest(F.lit(-bound), F.least(F.lit(bound), F.col("total") / count))

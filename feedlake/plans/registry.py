@@ -18,14 +18,14 @@ from feedlake import schemas
 from feedlake.functions.expressions import estimated_jaccard, feature_string, window_text
 from feedlake.functions.hashing import java_hash
 from feedlake.functions.payload import preview
-from feedlake.operators import counts, delays, ingest, joins, keyed, sketches
+from feedlake.operators import counts, delays, ingest, joins, keyed, privacy, sketches
 from feedlake.operators.similar import pair_count, similar_groups, similar_pairs
 from feedlake.operators.validate import validate_feed
 from feedlake.plans import jobs
 from feedlake.session import work_dir
 from feedlake.sources import events as ev
 from feedlake.sources import sinks, topics
-from feedlake.streaming import chain, clock, plans
+from feedlake.streaming import chain, clock, moments, plans
 from feedlake.streaming import jobs as streams
 
 WINDOW = "1 day"
@@ -650,6 +650,28 @@ def dp_moments(spark, d):
     )
 
 
+def stream_moments(spark, d):
+    """The moments as a stream of status rows; journeys change buckets on the way."""
+    plan = delays.latest_plan(ev.schedule_side(_prep(spark, d)))
+    late = delays.delays_against(plan, ev.status_side(_prep_stream(spark, d)))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", clock.STATE_PROVIDER)
+    found = moments.latest_moments(_drained(spark, moments.moment_changes(late), "moments"))
+    return found.select("bucket", "n", F.round("mean", 5).alias("mean"), F.round("variance", 3).alias("variance"))
+
+
+def dp_journey_moments(spark, d):
+    base = work_dir(spark, "release")
+    privacy.journey_sums(_delays(spark, d)).write.parquet(f"{base}/sums")
+    ledger = privacy.Ledger(spark, f"{base}/ledger", budget=1.0)
+    noisy = privacy.release_moments(spark.read.parquet(f"{base}/sums"), ledger, "all days", SECRET)
+    return noisy.select(
+        "bucket",
+        F.round("noisy_n", 5).alias("noisy_n"),
+        F.round("noisy_mean", 4).alias("noisy_mean"),
+        F.round("noisy_variance", 2).alias("noisy_variance"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "src_raw": src_raw,
     "src_json": src_json,
@@ -713,6 +735,8 @@ QUERIES: dict[str, Query] = {
     "lsh_bucket": lsh_bucket,
     "lsh_bucket_gaps": lsh_bucket_gaps,
     "bucket_moments": bucket_moments,
+    "stream_moments": stream_moments,
     "dp_moments": dp_moments,
+    "dp_journey_moments": dp_journey_moments,
     "explain_bucket": explain_bucket,
 }

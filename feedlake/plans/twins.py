@@ -471,6 +471,10 @@ FROM p""",
         "SELECT bucket, n, round(mean, 5) AS mean, round(variance, 3) AS variance FROM moments",
         _DELAYS, _VECTORS, _BUCKETS, _MOMENTS,
     ),
+    "stream_moments": _with(
+        "SELECT bucket, n, round(mean, 5) AS mean, round(variance, 3) AS variance FROM moments",
+        _DELAYS, _VECTORS, _BUCKETS, _MOMENTS,
+    ),
     "dp_moments": _with(
         """SELECT bucket, round(n, 5) AS noisy_n, round(mean, 4) AS noisy_mean,
            round(greatest(0, least(14400, squares / greatest(n, 1) - mean * mean)), 2) AS noisy_variance
@@ -483,6 +487,20 @@ FROM p""",
 drawn AS (SELECT bucket, n + {_noise("bucket || '|n'", 3.0)} AS n, total + {_noise("bucket || '|total'", 360.0)} AS total,
             squares + {_noise("bucket || '|squares'", 43200.0)} AS squares FROM sums)""",
     ),
+    "dp_journey_moments": _with(
+        """SELECT bucket, round(n, 5) AS noisy_n, round(mean, 4) AS noisy_mean,
+           round(greatest(0, least(14400, squares / greatest(n, 1) - mean * mean)), 2) AS noisy_variance
+           FROM (SELECT *, greatest(-120, least(120, total / greatest(n, 1))) AS mean FROM drawn)""",
+        _DELAYS,
+        _VECTORS,
+        _BUCKETS,
+        f"""sums AS (SELECT bucket, coalesce(n, 0) AS n, coalesce(total, 0) AS total, coalesce(squares, 0) AS squares
+            FROM (SELECT lpad(bin(i), 4, '0') AS bucket FROM range(16) t(i)) LEFT JOIN (
+              SELECT bucket, count(*) AS n, sum(c) AS total, sum(c * c) AS squares
+              FROM (SELECT bucket, greatest(-120, least(120, unnest(v))) AS c FROM buckets) GROUP BY bucket) USING (bucket)),
+drawn AS (SELECT bucket, n + {_noise("bucket || '|n|all days'", 15.0)} AS n, total + {_noise("bucket || '|total|all days'", 1800.0)} AS total,
+            squares + {_noise("bucket || '|squares|all days'", 216000.0)} AS squares FROM sums)""",
+    ),
     "explain_bucket": _with(
         """SELECT rid, bucket, 'Bucket ' || bucket || ': '
            || CASE WHEN v[1] <= 0 THEN 'no initial delay' WHEN v[1] < 5 THEN 'low initial delay' ELSE 'high initial delay' END
