@@ -25,7 +25,7 @@ from feedlake.plans import jobs
 from feedlake.session import work_dir
 from feedlake.sources import events as ev
 from feedlake.sources import sinks, topics
-from feedlake.streaming import chain, clock, moments, plans
+from feedlake.streaming import chain, clock, moments, plans, upserts
 from feedlake.streaming import jobs as streams
 
 WINDOW = "1 day"
@@ -120,6 +120,15 @@ def sink_files(spark, d):
     return spark.read.schema(schemas.RAW_MESSAGE).json(base)
 
 
+def stream_archive(spark, d):
+    """The same as a stream, in files closed by size or by time."""
+    base = work_dir(spark, "rolled")
+    source = topics.parquet_stream(spark, f"{d}/documents.parquet", ev.load(spark, d, "documents").schema)
+    messages = topics.raw_messages(source.select(F.col("text").cast("binary").alias("value")))
+    sinks.rolling_archive(messages, f"{base}/out", f"{base}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    return spark.read.schema(schemas.RAW_MESSAGE).json(f"{base}/out").select("message")
+
+
 def sink_text(spark, d):
     """Messages as bare lines of an archive; the tables' messages are one line each."""
     base = work_dir(spark, "lines")
@@ -138,11 +147,24 @@ def sink_keyed(spark, d):
     return sinks.keyed(_prep(spark, d).select("rid", "event_id", "tpl", "event_type"))
 
 
-def sink_upsert(spark, d):
-    rows = _prep(spark, d).select("rid", _window_end().alias("window_end"), "event_type", "event_id")
+def _upserts(prep: DataFrame) -> DataFrame:
+    rows = prep.select("rid", _window_end().alias("window_end"), "event_type", "event_id")
     records = sinks.upsert(rows.select("rid", "window_end", "event_type", "event_id"))
-    with_offset = records.withColumn("offset", F.get_json_object("value", "$.event_id").cast("bigint"))
-    return sinks.last_per_key(with_offset)
+    return records.withColumn("offset", F.get_json_object("value", "$.event_id").cast("bigint"))
+
+
+def sink_upsert(spark, d):
+    return sinks.last_per_key(_upserts(_prep(spark, d)))
+
+
+def stream_upsert(spark, d):
+    """The same table kept by a stream, read after its deltas were folded."""
+    events = topics.parquet_stream(spark, f"{d}/events.parquet", ev.load(spark, d, "events").schema)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", clock.STATE_PROVIDER)
+    table = upserts.UpsertTable(spark, work_dir(spark, "upserts"))
+    table.run(_upserts(ev.prepared(events))).awaitTermination()
+    table.compact()
+    return table.state()
 
 
 def multi_sink(spark, d):
@@ -677,10 +699,12 @@ QUERIES: dict[str, Query] = {
     "src_json": src_json,
     "src_replay": src_replay,
     "sink_files": sink_files,
+    "stream_archive": stream_archive,
     "sink_text": sink_text,
     "sink_kafka_value": sink_kafka_value,
     "sink_keyed": sink_keyed,
     "sink_upsert": sink_upsert,
+    "stream_upsert": stream_upsert,
     "multi_sink": multi_sink,
     "decode_payload": decode_payload,
     "decode_payload_any": decode_payload_any,

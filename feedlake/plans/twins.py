@@ -265,6 +265,13 @@ _WIDE = ", ".join("[" + ", ".join(f"{c!r}" for c in n) + "]" for n in planes(PLA
 
 _CODEC = f"[{', '.join(repr(c) for c in CODECS)}][length(url) % {len(CODECS)} + 1]"
 
+_UPSERTS = _with(
+    """SELECT '{"rid":"' || rid || '","window_end":"' || window_end || '"}' AS key,
+       '{"rid":"' || rid || '","window_end":"' || window_end || '","event_type":"'
+       || arg_max(event_type, event_id) || '","event_id":' || max(event_id) || '}' AS value
+       FROM prep GROUP BY rid, window_end"""
+)
+
 ORACLES: dict[str, str] = {
     "src_raw": "SELECT text AS message FROM documents",
     "src_json": _with(
@@ -273,6 +280,7 @@ ORACLES: dict[str, str] = {
     ),
     "src_replay": _with("SELECT rid, tpl, event_type, processing_ts FROM prep"),
     "sink_files": "SELECT text AS message FROM documents",
+    "stream_archive": "SELECT text AS message FROM documents WHERE text IS NOT NULL",
     "sink_text": _with(
         """SELECT '{"event_id":' || event_id || ',"rid":"' || rid || '","tpl":"' || tpl || '"}' AS message FROM prep"""
     ),
@@ -284,12 +292,8 @@ ORACLES: dict[str, str] = {
         """SELECT rid AS key, '{"rid":"' || rid || '","event_id":' || event_id || ',"tpl":"' || tpl
            || '","event_type":"' || event_type || '"}' AS value FROM prep"""
     ),
-    "sink_upsert": _with(
-        """SELECT '{"rid":"' || rid || '","window_end":"' || window_end || '"}' AS key,
-           '{"rid":"' || rid || '","window_end":"' || window_end || '","event_type":"'
-           || arg_max(event_type, event_id) || '","event_id":' || max(event_id) || '}' AS value
-           FROM prep GROUP BY rid, window_end"""
-    ),
+    "sink_upsert": _UPSERTS,
+    "stream_upsert": _UPSERTS,
     "multi_sink": _with(
         "SELECT window_end, location, n_rids, s AS sink FROM counts, (VALUES ('topic'), ('files')) AS t(s)", _COUNTS
     ),

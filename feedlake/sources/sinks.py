@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -11,6 +15,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 ROLL_INTERVAL = "10 minutes"
 # Upper bound per archive file; with feed messages of a few KB about 128 MB.
 ROLL_RECORDS = 50_000
+# Bytes of an archive file that is rolled by size.
+ROLL_BYTES = 128 * 1024 * 1024
 
 
 def kafka_value(df: DataFrame) -> DataFrame:
@@ -55,6 +61,61 @@ def archive_stream(
     return writer.trigger(**(trigger or {"processingTime": ROLL_INTERVAL})).start()
 
 
+def rolled(lines: DataFrame, limit: int = ROLL_BYTES) -> DataFrame:
+    """``value`` lines with the ``file`` each goes to: a task fills one after the other up to ``limit`` bytes.
+
+    Sizes are those of the encoded lines with their line ends. A line beyond the limit has
+    a file of its own. Nothing is shuffled; a task remembers two numbers.
+    """
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, file, filled = TaskContext.get().partitionId(), 0, 0
+        for batch in batches:
+            ends = np.cumsum(pc.binary_length(batch.column(0)).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+            names, start = [], 0
+            while start < len(ends):
+                before = int(ends[start - 1]) if start else 0
+                end = int(np.searchsorted(ends, before + limit - filled, "right"))
+                if end == start and filled == 0:
+                    end += 1
+                names += [f"f{task}-{file}"] * (end - start)
+                filled += int(ends[end - 1]) - before if end > start else 0
+                if end < len(ends):
+                    file, filled = file + 1, 0
+                start = end
+            yield pa.record_batch([batch.column(0), pa.array(names, pa.string())], ["value", "file"])
+
+    return lines.select("value").mapInArrow(number, "value string, file string")
+
+
+def archive_batch(path: str, column: str = "message", limit: int = ROLL_BYTES):
+    """A ``foreachBatch`` step: non-NULL messages as JSON lines in files of at most ``limit`` bytes.
+
+    A batch has a folder of its own and closes all its files, so none is open longer than
+    a batch takes; one that is run again replaces itself.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lines = not_null(batch, column).select(F.to_json(F.struct(column)).alias("value"))
+        rolled(lines, limit).write.mode("overwrite").partitionBy("file").text(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def rolling_archive(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    column: str = "message",
+    limit: int = ROLL_BYTES,
+    trigger: Mapping | None = None,
+) -> StreamingQuery:
+    """Streaming archive whose files are closed by size within a batch, and by time with it."""
+    writer = messages.select(column).writeStream.option("checkpointLocation", checkpoint)
+    writer = writer.foreachBatch(archive_batch(path, column, limit))
+    return writer.trigger(**(trigger or {"processingTime": ROLL_INTERVAL})).start()
+
+
 def text_stream(
     messages: DataFrame, path: str, checkpoint: str, column: str = "message", trigger: Mapping | None = None
 ) -> StreamingQuery:
