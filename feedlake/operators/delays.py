@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -150,41 +149,6 @@ def running_delay_vector(
     return vectors.filter("own").select("rid", "tpl", "event_time", "delay", "delays")
 
 
-def _fold_vectors(length: int):
-    """State step of :func:`delay_vector_stream`: merge new rows into the kept ones."""
-
-    def step(key, batches, state):
-        kept = pd.DataFrame({"at": [], "tpl": [], "delay": []})
-        if state.exists:
-            at, tpl, delay = state.get
-            kept = pd.DataFrame({"at": list(at), "tpl": list(tpl), "delay": list(delay)})
-        for batch in batches:
-            both = pd.concat([kept, batch[["at", "tpl", "delay"]]]) if len(kept) else batch[["at", "tpl", "delay"]]
-            kept = both.sort_values(["at", "tpl", "delay"]).tail(length)
-        at, tpl, delay = (kept[c].tolist() for c in ("at", "tpl", "delay"))
-        state.update(([int(x) for x in at], tpl, delay))
-        yield pd.DataFrame({"rid": [key[0]], "at": [int(at[-1])], "delays": [delay]})
-
-    return step
-
-
-def delay_vector_stream(delays: DataFrame, length: int = VECTOR_LENGTH) -> DataFrame:
-    """:func:`delay_vector` on a stream: per micro-batch, the new vector of each journey it touched.
-
-    The state of a journey is its last ``length`` rows, so late rows fall into place.
-    Rows arrive batch by batch and are folded, never gathered.
-    """
-    rows = delays.select("rid", F.unix_micros("event_time").alias("at"), "tpl", "delay")
-    vectors = rows.groupBy("rid").applyInPandasWithState(
-        _fold_vectors(length),
-        "rid string, at bigint, delays array<double>",
-        "at array<bigint>, tpl array<string>, delay array<double>",
-        "append",
-        "NoTimeout",
-    )
-    return vectors.select("rid", "delays", F.timestamp_micros("at").alias("event_time"))
-
-
 def _last(items: Column, count: int) -> Column:
     start = F.greatest(F.size(items) - count + 1, F.lit(1))
     return F.slice(items, start, count)

@@ -25,7 +25,7 @@ from feedlake.plans import jobs
 from feedlake.session import work_dir
 from feedlake.sources import events as ev
 from feedlake.sources import sinks, topics
-from feedlake.streaming import chain, clock, moments, plans, upserts
+from feedlake.streaming import chain, clock, moments, plans, upserts, vectors
 from feedlake.streaming import jobs as streams
 
 WINDOW = "1 day"
@@ -608,7 +608,8 @@ def delay_vector(spark, d):
 def stream_delay_vector(spark, d):
     plan = delays.latest_plan(ev.schedule_side(_prep(spark, d)))
     late = delays.delays_against(plan, ev.status_side(_prep_stream(spark, d)))
-    out = _drained(spark, delays.delay_vector_stream(late), "vectors")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", clock.STATE_PROVIDER)
+    out = _drained(spark, vectors.delay_vector_stream(late), "vectors")
     newest = out.groupBy("rid").agg(F.max_by("delays", F.struct("event_time", F.size("delays"))).alias("delays"))
     return newest.select("rid", *_vector_columns("delays"))
 

@@ -8,6 +8,7 @@ from feedlake.operators import counts, joins, sketches
 from feedlake.session import work_dir
 from feedlake.sources import sinks, topics
 from feedlake.streaming import jobs as streams
+from feedlake.streaming import vectors
 
 START = datetime(2025, 4, 30, 12, 0, 0)
 JOINED = "rid string, event_time timestamp, sch_tpl string, ts_tpl string, event_type string"
@@ -193,7 +194,7 @@ def test_delay_vector_stream_over_several_batches(spark):
     rows = [(f"j{k % 3}", f"T{k}", _at((k * 37) % 500), float(k)) for k in range(40)]
     for part in (rows[:15], rows[15:18], rows[18:]):
         feed.deliver(part)
-        out = feed.drained(delays.delay_vector_stream(feed.stream()))
+        out = feed.drained(vectors.delay_vector_stream(feed.stream()))
     final = {}
     for r in sorted(out.collect(), key=lambda r: (r.event_time, len(r.delays))):
         final.setdefault(r.rid, []).append(r.delays)

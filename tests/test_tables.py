@@ -5,11 +5,13 @@ import os
 import random
 
 from pyspark.sql import functions as F
-from test_streams import Feed
+from test_streams import Feed, _at
 
+from feedlake.operators import delays
 from feedlake.session import work_dir
 from feedlake.sources import sinks
-from feedlake.streaming import clock, upserts
+from feedlake.streaming import clock, upserts, vectors
+from feedlake.streaming import jobs as streams
 
 RECORDS = "key string, value string, offset bigint"
 
@@ -102,3 +104,23 @@ def test_files_fill_up_across_batches_of_rows(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert set(found.values()) == {10} and len(found) == 100
+
+
+def test_state_of_vectors_goes_with_its_journey(spark):
+    """Thirty days of journeys that last a day, and one that runs all the time."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", clock.STATE_PROVIDER)
+    feed = Feed(spark, "rid string, event_time timestamp, tpl string, delay double")
+    rows = [(f"d{day}-{k % 6}", _at(86_400 * day + 60 * k), tpl, float(day * k % 17)) for day in range(30) for k, tpl in enumerate("ABCDEFGHIJKL")]
+    rows += [("always", _at(86_400 * day), None, float(day)) for day in range(30)]
+    for day in range(30):
+        today = [r for r in rows if (r[1] - _at(0)).days == day]
+        spark.createDataFrame(today, feed.schema).coalesce(1).write.mode("append").parquet(f"{feed.base}/in")
+    source = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(f"{feed.base}/in")
+    query = streams.to_folder(vectors.delay_vector_stream(source), f"{feed.base}/out", f"{feed.base}/checkpoint")
+    query.awaitTermination()
+    held = [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in query.recentProgress]
+    assert len(held) >= 30 and 0 < max(held[15:]) <= max(held[:12]), held
+    out = spark.read.parquet(f"{feed.base}/out")
+    newest = out.groupBy("rid").agg(F.max_by("delays", F.struct("event_time", F.size("delays"))).alias("delays"))
+    want = delays.delay_vector(spark.createDataFrame(rows, feed.schema)).select("rid", "delays")
+    assert sorted(map(tuple, newest.collect())) == sorted(map(tuple, want.collect()))
