@@ -18,6 +18,8 @@ from feedlake import schemas
 from feedlake.functions.expressions import estimated_jaccard, feature_string, window_text
 from feedlake.functions.hashing import java_hash
 from feedlake.functions.payload import preview
+from feedlake.functions.sqlnames import register_sql_functions
+from feedlake.functions.sqltables import register_sql_tables
 from feedlake.operators import counts, delays, ingest, joins, keyed, privacy, sketches
 from feedlake.operators.similar import pair_count, similar_groups, similar_pairs
 from feedlake.operators.validate import validate_feed
@@ -25,7 +27,7 @@ from feedlake.plans import jobs
 from feedlake.session import work_dir
 from feedlake.sources import events as ev
 from feedlake.sources import sinks, topics
-from feedlake.streaming import chain, clock, moments, plans, upserts, vectors
+from feedlake.streaming import chain, clock, moments, pairs, plans, upserts, vectors
 from feedlake.streaming import jobs as streams
 
 WINDOW = "1 day"
@@ -481,6 +483,45 @@ def bloom_might_contain(spark, d):
     )
 
 
+# --- the same in SQL text --------------------------------------------------------------
+
+_SQL_SIGNATURES = """
+    SELECT rid, window_end, minhash_signature FROM MINHASH_SIGNATURES(TABLE(
+      SELECT DISTINCT rid, date_format(window(event_time, '1 day').end, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_end,
+             FEATURE_HASH(sch_tpl, ts_tpl, event_type)
+      FROM {joined} WHERE rid IS NOT NULL))"""
+_SQL_FILTERS = """
+    SELECT rid, window_end, bloom_filter_base64 FROM BLOOM_FILTERS(TABLE(
+      SELECT DISTINCT rid, date_format(window(event_time, '1 day').end, 'yyyy-MM-dd HH:mm:ss.SSS') AS window_end,
+             LOCATION_HASH(ts_tpl)
+      FROM {joined} WHERE rid IS NOT NULL))"""
+
+
+def _sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
+    register_sql_functions(spark)
+    register_sql_tables(spark)
+    return spark.sql(text, **tables)
+
+
+def sql_signatures(spark, d):
+    text = f"SELECT rid, window_end, array_join(minhash_signature, ',') AS signature FROM ({_SQL_SIGNATURES})"
+    return _sql(spark, text, joined=_joined(spark, d))
+
+
+def sql_filters(spark, d):
+    return _sql(spark, _SQL_FILTERS, joined=_nulled(_joined(spark, d)))
+
+
+def sql_similarity(spark, d):
+    """Each day's signature against that of all days, which is folded from the days' signatures."""
+    text = f"""
+        WITH daily AS ({_SQL_SIGNATURES}),
+             overall AS (SELECT * FROM MINHASH_SIGNATURES(TABLE(SELECT rid, minhash_signature FROM daily)))
+        SELECT d.rid, d.window_end, CalculateSimilarity(d.minhash_signature, o.minhash_signature) AS similarity
+        FROM daily d JOIN overall o ON d.rid = o.rid"""
+    return _sql(spark, text, joined=_joined(spark, d))
+
+
 # --- counts and privacy --------------------------------------------------------------
 
 
@@ -519,15 +560,26 @@ def stream_dp_count(spark, d):
     return _drained(spark, stream, "counts").withColumn("noisy_count", F.round("noisy_count", 6))
 
 
-def stream_similarity(spark, d):
+def _signature_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The daily signatures as a stream that ends with a closing one."""
     base = work_dir(spark, "signatures")
     signatures = jobs.signatures(_joined(spark, d), WINDOW)
     closing = signatures.sparkSession.range(1).select(
         F.lit("-1").alias("rid"), F.lit(f"{END}.000").alias("window_end"), F.array(F.lit(-1).cast("bigint")).alias("minhash_signature")
     )
     signatures.select(*closing.columns).unionByName(closing).write.parquet(base)
-    source = topics.parquet_stream(spark, base, schemas.SIGNATURE)
-    return _drained(spark, streams.similarity_stream(source), "similarity")
+    return topics.parquet_stream(spark, base, schemas.SIGNATURE)
+
+
+def stream_similarity(spark, d):
+    return _drained(spark, streams.similarity_stream(_signature_stream(spark, d)), "similarity")
+
+
+def stream_window_pairs(spark, d):
+    """The same pairs, each window searched as a whole once it is closed."""
+    search = pairs.WindowPairs(spark, work_dir(spark, "window-pairs"))
+    search.run(_signature_stream(spark, d)).awaitTermination()
+    return search.result()
 
 
 def stream_chain(spark, d):
@@ -741,6 +793,9 @@ QUERIES: dict[str, Query] = {
     "bloom_agg": bloom_agg,
     "bloom_merge": bloom_merge,
     "bloom_might_contain": bloom_might_contain,
+    "sql_signatures": sql_signatures,
+    "sql_filters": sql_filters,
+    "sql_similarity": sql_similarity,
     "distinct_count_window": distinct_count_window,
     "dp_noisy_count": dp_noisy_count,
     "stream_window_join": stream_window_join,
@@ -748,6 +803,7 @@ QUERIES: dict[str, Query] = {
     "stream_bloom": stream_bloom,
     "stream_dp_count": stream_dp_count,
     "stream_similarity": stream_similarity,
+    "stream_window_pairs": stream_window_pairs,
     "stream_chain": stream_chain,
     "arrival_window_count": arrival_window_count,
     "late_drop": late_drop,

@@ -423,6 +423,13 @@ FROM documents UNION ALL SELECT doc_id, 'Received null message' FROM documents W
             FROM prep JOIN bl USING (rid, window_end), blo GROUP BY event_id""",
         BLO, _BLOOM,
     ),
+    "sql_signatures": _with(_DAILY_TEXT + " GROUP BY rid, window_end", SIG, _DAILY),
+    "sql_filters": _with("SELECT rid, window_end, bloom_filter_base64 FROM bl", BLO, _BLOOM),
+    "sql_similarity": _with(
+        """SELECT d.rid, d.window_end, sum(CASE WHEN d.v = o.v THEN 1 ELSE 0 END) / 128.0::DOUBLE AS similarity
+           FROM daily d JOIN overall o ON d.rid = o.rid AND d.i = o.i GROUP BY d.rid, d.window_end""",
+        SIG, _DAILY, _OVERALL,
+    ),
     "distinct_count_window": _with("SELECT * FROM counts", _COUNTS),
     "dp_noisy_count": _with(f"SELECT window_end, location, {_NOISY} FROM counts", _COUNTS),
     "stream_window_join": _WINDOW_JOIN,
@@ -436,6 +443,7 @@ FROM documents UNION ALL SELECT doc_id, 'Received null message' FROM documents W
         f"SELECT window_end, location, {_NOISY} FROM counts", _COUNTS
     ),
     "stream_similarity": _with(_PAIRS_OF.format("daily"), SIG, _DAILY),
+    "stream_window_pairs": _with(_PAIRS_OF.format("daily"), SIG, _DAILY),
     "late_drop": _with(
         f"""SELECT window_end, count(*) AS n FROM prep
             WHERE {_closed()} AND (event_type NOT IN ('signup', 'error')
