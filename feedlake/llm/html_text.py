@@ -7,7 +7,10 @@ and by link density, length and stop-word density; on a page that no list of sto
 fits, by link density and length alone. Blocks that are too short to tell stay
 ambiguous; in the second pass they inherit the label of the nearest decided neighbours,
 and inside an article count as main text unless both disagree. Of linked blocks inside
-an article only lists of links, two or more wholly linked blocks in a row, are furniture.
+an article only lists of links, two or more wholly linked blocks in a row that aren't
+paragraphs, are furniture. A link holds the blocks within it. Articles named as cards are
+main text only of a page that has no other. Where nothing on a page is main text, its
+ambiguous blocks are.
 
 Text is decoded, white space within a block becomes one space, blocks are joined by one
 space in page order. Null, empty and text-less pages give an empty text. Markup that
@@ -31,7 +34,7 @@ SLICE = 64
 #: Comments, raw-text elements with their content, tags, other declarations.
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|title|textarea|select|button|canvas)\b"
+    r"|<(script|style|noscript|template|svg|iframe|object|title|textarea|select|button|canvas)\b"
     r"(?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^<>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9-]*)([^<>]*)>"
@@ -58,6 +61,17 @@ BAD_NAME = re.compile(
     r"|widgets?|pagination|pager|toolbar|skip|legal|disclaimer|copyright|hidden)(?:$|[\s_-])",
     re.I,
 )
+#: Of those names, some that an article's own parts may bear, and words that go with them where they mean furniture.
+TOPICS = frozenset("share sharing social discussion menu alert skip reply respond legal".split())
+FITTINGS = frozenset(
+    "area bar block box button buttons container content form group icon icons inner item items links list main media"
+    " article entry page panel post section site text this title tools top wrap wrapper".split()
+)
+CARD_NAME = re.compile(r"(?:^|[\s_-])(?:cards?|teasers?|tiles?|previews?)(?:$|[\s_-])", re.I)
+#: Tags whose start ends an open paragraph.
+ENDS_P = BLOCKS - frozenset("body br caption dd dt html li option tbody td tfoot th thead tr".split())
+#: The next start or end of a link, and what is left of a tag at the end of a page.
+LINK_TAG, CUT_TAG = re.compile(r"<(/?)a(?=[\s>/])", re.I), re.compile(r"<(?:/?[a-zA-Z]|[!?])")
 BAD_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 MAIN_NAME = re.compile(r"(?:^|\s)(?:article-?body|entry-?content|post-?content|main-?content|article-?content)(?:$|\s)", re.I)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|itemprop)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -82,8 +96,9 @@ GOOD, BAD, UNSURE = "good", "bad", "unsure"
 class Block(NamedTuple):
     text: str
     linked: int  # characters inside links
-    place: str  # "main", "plain", or "never"
+    place: str  # "main", "card", "plain", or "never"
     heading: bool
+    paragraph: bool = False
 
 
 class _Open(NamedTuple):
@@ -91,6 +106,18 @@ class _Open(NamedTuple):
     place: str
 
 
+def _furniture(names: str, inside: bool) -> bool:
+    """Whether class names or an id say that an element isn't main text; ``inside`` an article a topic alone doesn't."""
+    if not BAD_NAME.search(names):
+        return False
+    for name in names.lower().split() if inside else ():
+        parts = [x for x in re.split("[_-]+", name) if x]
+        bad = [x for x in parts if BAD_NAME.fullmatch(x)]
+        if any(x not in TOPICS for x in bad) or bad and bad != ["legal"] and all(x in FITTINGS or x in bad for x in parts):
+            return True
+    return not inside
+
+
 def _place(tag: str, attributes: str, above: str) -> str:
     """Where the content of an element stands, given where the element does."""
     if above == "never" or tag in NEVER:
@@ -98,14 +125,16 @@ def _place(tag: str, attributes: str, above: str) -> str:
     if attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
             value, name = "".join(values), name.lower()
-            if name in ("class", "id") and tag not in WHOLE and BAD_NAME.search(value):
+            if name in ("class", "id") and tag not in WHOLE and _furniture(value, above in ("main", "heading")):
                 return "never"
+            if name in ("class", "id") and tag == "article" and CARD_NAME.search(value):
+                return "card"
             if name == "role" and value.lower() in BAD_ROLE or name == "hidden" or name == "aria-hidden" and value == "true":
                 return "never"
             if name in ("class", "id", "itemprop") and MAIN_NAME.search(value) or name == "role" and value == "main":
                 above = "main"
     if tag in ("article", "main"):
-        return "main"
+        return "card" if above == "card" else "main"
     if tag == "header":
         return "heading" if above == "main" else "never"
     return above
@@ -116,7 +145,8 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     stack: list[_Open] = []
     parts: list[str] = []
-    state = {"linked": 0, "link": 0, "heading": False}
+    # "depth": how many elements were open where the link starts; "short": its end tag is missing
+    state = {"linked": 0, "link": 0, "heading": False, "depth": 0, "short": False}
 
     def close() -> None:
         text = " ".join(unescape("".join(parts)).split())
@@ -125,7 +155,7 @@ def blocks(html: str) -> list[Block]:
             heading = state["heading"]
             if place == "heading":  # a header inside an article holds its title, and other things
                 place = "main" if heading else "never"
-            out.append(Block(text, state["linked"], place, heading))
+            out.append(Block(text, state["linked"], place, heading, bool(stack) and stack[-1].tag == "p"))
         parts.clear()
         state["linked"] = 0
 
@@ -147,24 +177,32 @@ def blocks(html: str) -> list[Block]:
         ends, attributes = m[2] or m[5], m[4] if m[3] else m[7]
         if tag in BLOCKS:
             close()
-            state["link"] = 0 if not ends else state["link"]
+            if state["short"] and not ends:
+                state["link"] = 0
+            if not ends and tag in ENDS_P and stack and stack[-1].tag == "p":
+                stack.pop()
         if tag == "a":
-            state["link"] = 0 if ends else 1
+            follows = None if ends else LINK_TAG.search(html, at)
+            state |= {"link": 0 if ends else 1, "depth": len(stack), "short": not (follows and follows[1])}
         if tag in HEADINGS:
             state["heading"] = not ends
         if ends:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
             if depth is not None:
                 del stack[depth:]
+                if depth < state["depth"]:
+                    state["link"] = 0
         elif tag not in VOID and not attributes.endswith("/"):
             if tag in OPEN_ENDED and stack and stack[-1].tag == tag:
                 stack.pop()
+            if len(stack) < state["depth"]:
+                state["link"] = 0
             place = _place(tag, attributes, stack[-1].place if stack else "plain")
             if tag in BLOCKS or place == "never":
                 if place == "never" and tag not in BLOCKS:
                     close()
                 stack.append(_Open(tag, place))
-    add(html[at:] if not html[at:].startswith("<") else "")
+    add(html[at:] if not CUT_TAG.match(html, at) else "")
     close()
     return out
 
@@ -209,9 +247,16 @@ def labels(page: list[Block]) -> list[str]:
     """Final labels of the blocks of a page."""
     if any(b.place == "main" for b in page):
         page = [b if b.place == "main" else b._replace(place="never") for b in page]
+    elif any(b.place == "card" for b in page):
+        apart = [b._replace(place="never") if b.place == "card" else b for b in page]
+        fits = listed(apart)
+        if any(first_pass(b, fits) == GOOD for b in apart):
+            page = apart
+        else:
+            return labels([b._replace(place="main") if b.place == "card" else b for b in page])
     fits = listed(page)
     first = [first_pass(b, fits) for b in page]
-    lists = [b.place == "main" and not b.heading and b.linked >= len(b.text) for b in page]
+    lists = [b.place == "main" and not b.heading and not b.paragraph and b.linked >= len(b.text) for b in page]
     for i in range(1, len(page)):
         if lists[i - 1] and lists[i]:
             first[i - 1] = first[i] = BAD
@@ -233,6 +278,8 @@ def labels(page: list[Block]) -> list[str]:
         if page[i].heading and after is not None:
             near = [(0, first[after])]  # a heading belongs to what follows
         final.append(min(near)[1] if near else BAD)
+    if GOOD not in final:
+        return [GOOD if x == UNSURE else BAD for x in first]
     return final
 
 

@@ -36,6 +36,42 @@ CASES += [
 ]
 
 
+CARD = "<article class=card><h3><a href=x>Another</a></h3><p>The tale of a dog that ran to the hills and of the man that went after it in the end.</p></article>"
+CASES += [
+    # a link holds the blocks within it, a missing end tag ends with its block
+    (f"<div><p>{STORY}</p><a href=x><div>{STORY}</div><div>{STORY}</div></a></div>", STORY),
+    (f"<div><p><a href=x>Home<p>{STORY}</p></div>", STORY),
+    (f"<div><p><a href=x>Home</p><p>{STORY}</p><p>{STORY} <a>End.</a></p></div>", f"{STORY} {STORY} End."),
+    # cards beside the story, beside an article, inside it, and alone
+    (f"<div><p>{STORY}</p></div>{CARD}", STORY),
+    (f"<article><p>{STORY}</p></article>{CARD}", STORY),
+    (f"<article><p>{STORY}</p>{CARD}</article>", STORY),
+    (f"<article class='post card'><p>{STORY}</p></article>", STORY),
+    (f"<article><p>{STORY}</p></article><article><p>{STORY}</p></article>", f"{STORY} {STORY}"),
+    # names of an article's own parts, and of furniture in it
+    (f"<article><p>{STORY}</p><section class='share-price'><p>{STORY}</p></section><div class='legal'>{STORY}</div></article>", f"{STORY} {STORY} {STORY}"),
+    *(
+        (f"<article><p>{STORY}</p><div class='{name}'><p>{STORY}</p></div></article>", STORY)
+        for name in ("share", "share-buttons", "post-reply", "social_links", "ad-slot", "x promo-legal", "comments-area", "notice", "related posts")
+    ),
+    # sources as wholly linked paragraphs; formulas
+    (f"<article><p>{STORY}</p><p><a>One source</a></p><p><a>Two source</a></p></article>", f"{STORY} One source Two source"),
+    (f"<article><p>{STORY} <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p></article>", f"{STORY} x=1"),
+    # an open paragraph ends at the next block
+    (f"<article><p class=ad>Buy this<div>{STORY}</div><p>{STORY}</article>", f"{STORY} {STORY}"),
+    (f"<article><p class=ad>Buy this<hr>{STORY}</article>", STORY),
+    # what looks like a tag, at the end
+    (f"<p>{STORY} So < 5 apples", f"{STORY} So < 5 apples"),
+    (f"<p>{STORY}</p>< 5 apples", f"{STORY} < 5 apples"),
+    (f"<p>{STORY}</p><a href='x", STORY),
+    # pages that hold nothing else
+    ("Hello world.", "Hello world."),
+    ("<nav><a href=x>Home</a></nav><p>Hello world.</p><footer>End</footer>", "Hello world."),
+    ("<nav><a href=x>Home</a></nav>", ""),
+    ("<a>" * 2000 + "x", None),
+]
+
+
 @pytest.mark.parametrize(("html", "text"), CASES)
 def test_pages(html, text):
     got = html_text.main_text(html)
