@@ -1,7 +1,11 @@
 """Personal data by weak supervision: labelers vote on spans, EM weighs them, a classifier decides.
 
 Every text yields candidate spans. The base patterns give the certain ones; wider
-patterns give more (numbers without a plus, written-out addresses, failed checks).
+patterns give more: numbers without a plus, written-out addresses, and the parts of base
+matches that failed their check because they took too much, as a phone number with the
+address after it or two card numbers in a row. Numbers of other use (versions, dates,
+digits of keys, handles) are candidates too, so that the labelers' errors can be
+estimated on spans of both kinds.
 Four labelers vote on each candidate: the pattern, a validity check, a gazetteer and
 the words before it. Spark counts the candidates by kind, votes and shape, of which
 there are at most ``PATTERNS``. On those counts expectation-maximisation estimates how
@@ -17,6 +21,7 @@ string.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +48,11 @@ WRITTEN = re.compile(
     r"[A-Za-z0-9._%+-]{1,64} ?(?:[\[({]at[\])}]| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:[\[({]dot[\])}]| dot |\.) ?[A-Za-z0-9-]{1,63}){1,4}",
     re.IGNORECASE,
 )
+#: A phone number by its groups, and the groups of digits of a failed card.
+PHONE_FORM = re.compile(r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,4})(?:[ .-][0-9]{2,4}){1,4}+(?![0-9])|\+[0-9]{8,15}(?![0-9])")
+GROUP = re.compile(r"[0-9]+")
+#: What is mostly no personal data: runs of digits, versions, handles.
+RUN, VERSION, HANDLE = re.compile(r"[0-9]{5,}"), re.compile(r"(?<![0-9.])[0-9]{1,4}(?:\.[0-9]{1,4}){1,3}(?![0-9.]?[0-9])"), re.compile(r"(?<![\w.%+-])@\w{2,64}")
 DATE = re.compile(r"(?:19|20)[0-9]{2}[-. ][0-9]{1,2}[-. ][0-9]{1,2}|[0-9]{1,2}[-. ][0-9]{1,2}[-. ](?:19|20)[0-9]{2}")
 SAYS_DOT = re.compile(r"[\[({]at[\])}]| at \S+ dot ", re.IGNORECASE)
 
@@ -98,53 +108,128 @@ def luhn(digits: list[int]) -> bool:
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, bool, int]]:
     """Base spans and wider ones, each with whether it is a base span and with its pattern of votes and shape."""
     out = [(k, a, b, True, pattern(text, k, a, b, True)) for k, a, b in base]
-    taken = sorted((a, b) for _, a, b in base)
+    taken = _Taken((a, b) for _, a, b in base)
 
-    def free(a: int, b: int) -> bool:
-        return all(b <= x or y <= a for x, y in taken)
+    def add(kind: int, found: list[tuple[int, int]]) -> None:
+        """Candidates of one pattern, from left to right, where nothing is taken yet."""
+        new = [(a, b) for a, b in found if taken.free(a, b)]
+        out.extend((kind, a, b, False, pattern(text, kind, a, b, False)) for a, b in new)
+        taken.add(new)
 
     if SAYS_DOT.search(text):
-        for m in WRITTEN.finditer(text):
-            if "@" not in m[0] and free(*m.span()):
-                out.append((EMAIL, *m.span(), False, pattern(text, EMAIL, *m.span(), False)))
+        add(EMAIL, [m.span() for m in WRITTEN.finditer(text) if "@" not in m[0]])
+    if "@" in text:
+        add(EMAIL, [m.span() for m in HANDLE.finditer(text)])
     if DIGIT.search(text):
-        for m in NUMBER.finditer(text):
-            n = len(_digits(m[0]))
-            if n >= 8 and free(*m.span()):
-                kind = IP if IP_BASE.fullmatch(m[0]) else PHONE if n <= 12 else CARD
-                out.append((kind, *m.span(), False, pattern(text, kind, *m.span(), False)))
+        if "+" in text:
+            add(PHONE, list(_swallowed_phones(text, taken)))
+        add(CARD, list(_swallowed_cards(text)))
+        numbers = [(m.span(), len(_digits(m[0]))) for m in NUMBER.finditer(text)]
+        numbers = [(a, b, n) for (a, b), n in numbers if n >= 8]
+        add(IP, [(a, b) for a, b, _ in numbers if IP_BASE.fullmatch(text, a, b)])
+        add(PHONE, [(a, b) for a, b, n in numbers if n <= 12])
+        add(CARD, [(a, b) for a, b, _ in numbers])
+        add(IP, [m.span() for m in VERSION.finditer(text)])
+        runs = [m.span() for m in RUN.finditer(text)]
+        add(PHONE, [(a, b) for a, b in runs if b - a <= 12])
+        add(CARD, [(a, b) for a, b in runs if 13 <= b - a <= 19])
     return out
 
 
+class _Taken:
+    """Stretches of a text that spans have taken."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        self.add(spans)
+
+    def add(self, spans) -> None:
+        merged: list[list[int]] = []
+        for a, b in sorted([*zip(self.starts, self.ends), *spans]):
+            if merged and a < merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        self.starts, self.ends = [a for a, _ in merged], [b for _, b in merged]
+
+    def free(self, a: int, b: int) -> bool:
+        i = bisect_left(self.starts, b) - 1
+        return i < 0 or self.ends[i] <= a
+
+    def next(self, at: int) -> int | None:
+        """Where the first stretch from ``at`` on starts."""
+        i = bisect_left(self.starts, at)
+        return self.starts[i] if i < len(self.starts) else None
+
+
+def _swallowed_phones(text: str, taken: _Taken) -> Iterator[tuple[int, int]]:
+    """Phone numbers at the start of base matches that failed; they end before what is taken."""
+    for m in PHONE_BASE.finditer(text):
+        if 8 <= len(_digits(m[0])) <= 15:
+            continue
+        stop = taken.next(m.start())
+        form = PHONE_FORM.match(text, m.start(), m.end() if stop is None else min(m.end(), stop))
+        if form and 8 <= len(_digits(form[0])) <= 15:
+            yield form.span()
+
+
+def _swallowed_cards(text: str) -> Iterator[tuple[int, int]]:
+    """Runs of whole groups of digits that pass as cards, within base matches that failed."""
+    for m in CARD_BASE.finditer(text):
+        digits = _digits(m[0]) if m.end() - m.start() >= 16 else []
+        if len(digits) < 16 or len(digits) <= 19 and luhn(digits):
+            continue
+        groups = [g.span() for g in GROUP.finditer(text, *m.span())]
+        first = 0
+        while first < len(groups):
+            last, size = first, 0
+            while last < len(groups) and (size := size + groups[last][1] - groups[last][0]) <= 19:
+                span = groups[first][0], groups[last][1]
+                if size >= 16 and luhn(_digits(text[slice(*span)])):
+                    yield span
+                    break
+                last += 1
+            else:
+                last = first
+            first = last + 1
+
+
 def votes(text: str, kind: int, start: int, end: int, base: bool) -> tuple[int, int, int, int]:
     """What pattern, validity check, gazetteer and context say: 2 for, 0 against, 1 nothing."""
     span = text[start:end]
     digits = _digits(span)
+    glued = _glued(text, start, end) > 0 and not base
     before = text[max(0, start - 40) : start].rpartition("\n")[2]
     context = 2 if CUES[kind].search(before) else 0 if OTHER.search(before[-16:]) else 1
     if kind == EMAIL:
         last = re.split(r"[.\s\])}]+", span)[-1].lower()
-        valid = 2 if last.isalpha() and 2 <= len(last) <= 24 else 0
+        valid = 2 if last.isalpha() and 2 <= len(last) <= 24 and span[0] != "@" else 0
         known = 2 if last in TOP_LEVEL else 1
     elif kind == IP:
         parts = span.split(".")
-        valid = 2 if all(len(p) <= 3 and int(p) <= 255 for p in parts) else 0
+        valid = 2 if len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts) else 0
         known = 0 if any(len(p) > 1 and p[0] == "0" for p in parts) or parts[0] == "0" else 1
     elif kind == CARD:
-        valid = 2 if 13 <= len(digits) <= 19 and luhn(digits) else 0
+        valid = 2 if 13 <= len(digits) <= 19 and luhn(digits) and not glued else 0
         known = 2 if ISSUERS.match("".join(map(str, digits[:4]))) else 0
     else:
-        valid = 2 if 8 <= len(digits) <= 15 and len(set(digits)) > 2 and not DATE.fullmatch(span) else 0
+        written = len(digits) < len(span) and not glued and not DATE.fullmatch(span)
+        valid = 2 if 8 <= len(digits) <= 15 and len(set(digits)) > 2 and written else 0
         known = 2 if span[0] == "+" and digits[0] else 1
     return (2 if base else 1 if valid else 0), valid, known, context
 
 
+def _glued(text: str, start: int, end: int) -> int:
+    """Whether letters or digits touch a span: 1 before it, 2 after it."""
+    return (start > 0 and text[start - 1].isalnum()) + 2 * (end < len(text) and text[end].isalnum())
+
+
 def pattern(text: str, kind: int, start: int, end: int, base: bool) -> int:
     """Kind, votes and shape as one number below ``PATTERNS``."""
     number = kind
     for v in votes(text, kind, start, end, base):
         number = number * 3 + v
-    glued = (start > 0 and text[start - 1].isalnum()) + 2 * (end < len(text) and text[end].isalnum())
+    glued = _glued(text, start, end)
     separators = set(text[start:end]) & set(" -.()")
     return (number * 4 + glued) * 4 + min(3, len(separators))
 

@@ -162,6 +162,39 @@ def test_method_adds_spans_and_masks(spark):
     assert pii.find_pii(documents(spark, [])).count() == 0
 
 
+def test_parts_of_failed_matches_and_other_numbers(spark):
+    """Numbers that the base patterns swallow are added; keys, versions and numbers that fail their check aren't."""
+    card, other, wrong = "4111111111111111", "5500 0000 0000 0004", "4111111111111112"
+    known = [(n, f"x +1 (202) 555-{1000 + n} and {card} with 10.0.{n}.7 or a{n}@host.com") for n in range(60)]
+    noise = [(100 + n, f"token {n:02d}ab{7654321 + n}cd under CC 4.0 at @someone {int(wrong) + 10 * n * (n % 2)}") for n in range(60)]
+    noise = [(i, t) for i, t in noise if not pii.base_spans(t)]
+    cases = [
+        (300, "de +1 (826) 555-4081 190.137.223.204 du", "ip:21:36,phone:3:20"),
+        (301, f"a {card} {other} b", "card:2:18,card:19:38"),
+        (302, f"a {wrong} {card} b", "card:19:35"),
+        (303, f"a {wrong} b", ""),
+        (304, "+" + "1" * 40, ""),
+    ]
+    docs = documents(spark, known + noise + [c[:2] for c in cases])
+    spans = {r.doc_id: r.spans for r in pii.find_pii(docs).collect()}
+    assert {i: spans[i] for i, _, _ in cases} == {i: want for i, _, want in cases}
+    assert len(noise) > 30 and all(spans[i] == "" for i, _ in noise)
+    assert all(not set(spans[i].split(",")) ^ {f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in pii.base_spans(t)} for i, t in known)
+
+
+def test_taken_stretches():
+    rng = random.Random(8)
+    for _ in range(300):
+        spans = [(a, a + rng.randint(1, 6)) for a in rng.sample(range(40), 6)]
+        taken = pii._Taken(spans[:3])
+        taken.add(spans[3:])
+        for a in range(45):
+            b = a + rng.randint(1, 5)
+            assert taken.free(a, b) == all(b <= x or y <= a for x, y in spans)
+    text = "a 4111111111111111 " * 20_000 + "+" * 1000 + "12345 " * 20_000
+    assert len(pii.candidates(text, pii.base_spans(text))) >= 20_000
+
+
 def test_overlapping_spans_are_masked_once():
     spans = [{"kind": 2, "start": 2, "end": 8}, {"kind": 3, "start": 0, "end": 5}]
     assert pii.masked("0123456789", spans) == "<PHONE>89"
