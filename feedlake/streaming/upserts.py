@@ -11,8 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -27,17 +26,17 @@ class _LastWriter(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "version bigint, digest bigint")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = tuple(self.last.get()) if self.last.exists() else None
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        found = self.last.get()
+        last = None if found is None else tuple(found)
         newer = None
-        for batch in rows:
-            version, digest, value = batch.loc[:, ["version", "digest", "value"]].sort_values(["version", "digest"]).iloc[-1]
-            if last is None or (int(version), int(digest)) > last:
-                last = (int(version), int(digest))
-                newer = value if isinstance(value, str) else None, *last
+        for row in rows:
+            if last is None or (row.version, row.digest) > last:
+                last = (row.version, row.digest)
+                newer = row.value, *last
         if newer:
             self.last.update(last)
-            yield pd.DataFrame([(*key, *newer)], columns=NAMES)
+            yield Row(**dict(zip(NAMES, (*key, *newer))))
 
     def close(self) -> None:
         pass
@@ -56,7 +55,7 @@ def changes(records: DataFrame, order: str = "offset") -> DataFrame:
     """
     rows = records.select("key", "value", F.col(order).cast("bigint").alias("version"), F.xxhash64("value").alias("digest"))
     rows = rows.filter("key IS NOT NULL AND version IS NOT NULL")
-    return rows.groupBy("key").transformWithStateInPandas(_LastWriter(), RECORD, "Append", "None")
+    return rows.groupBy("key").transformWithState(_LastWriter(), RECORD, "Append", "None")
 
 
 class UpsertTable:
