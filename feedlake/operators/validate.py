@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedlake.functions.expressions import with_once
 from feedlake.schemas import LOCATION_KINDS
 
 
@@ -172,5 +173,5 @@ def validate_feed(routed: DataFrame) -> DataFrame:
     of_update = F.when(F.col("doc.uR").isNotNull(), _prefixed(request, "uR.")).otherwise(F.array().cast("array<string>"))
     findings = F.concat(of_update, _each(box["TS"], _status_findings), _each(box["schedule"], _schedule_findings))
     reason = F.array_join(F.array_sort(F.array_distinct(findings)), ",")
-    checked = routed.withColumn("reject_reason", F.when(reason != "", reason))
+    checked = with_once(routed, "reject_reason", F.nullif(reason, F.lit("")))
     return checked.withColumn("valid", F.col("reject_reason").isNull())
