@@ -21,6 +21,7 @@ table without rows gives no rows, also without keys.
 from __future__ import annotations
 
 import base64
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import SparkSession
@@ -42,8 +43,8 @@ from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, PartitioningColumn
 from feedlake.functions.hashing import MERSENNE_31, coefficients
 from feedlake.operators.sketches import FILTER_BITS, FILTER_HASHES, FILTER_SEED, SIGNATURE_LENGTH, SIGNATURE_SEED
 
-#: Hashes that wait for one vectorised step.
-CHUNK = 1024
+#: Hashes, or results, that wait for one vectorised step.
+CHUNK, MERGED = 1024, 64
 _WHOLE = (ByteType, ShortType, IntegerType, LongType, NullType)
 
 
@@ -59,6 +60,12 @@ def _analyzed(table: AnalyzeArgument, name: str, result: DataType) -> AnalyzeRes
     return AnalyzeResult(schema, partitionBy=names, withSinglePartition=not names)
 
 
+@lru_cache(maxsize=8)
+def _family(count: int, seed: int) -> np.ndarray:
+    """The factors and the summands of a hash family; made once per Python worker, as every group has its own fold."""
+    return np.array(coefficients(count, seed), np.int64).T.copy()
+
+
 class _Fold:
     """One group: its keys, up to :data:`CHUNK` waiting hashes, and the state."""
 
@@ -94,8 +101,8 @@ class MinhashSignatures(_Fold):
 
     def __init__(self):
         super().__init__()
-        self.a, self.b = np.array(coefficients(SIGNATURE_LENGTH, SIGNATURE_SEED), np.int64).T
-        self.least = None
+        self.a, self.b = _family(SIGNATURE_LENGTH, SIGNATURE_SEED)
+        self.least, self.signatures = None, []
 
     @staticmethod
     def analyze(table: AnalyzeArgument) -> AnalyzeResult:
@@ -106,12 +113,22 @@ class MinhashSignatures(_Fold):
 
     def merge(self, signature) -> None:
         if len(signature):
-            self._take(np.array(signature, np.int64))
+            self.signatures.append(signature)
+            if len(self.signatures) == MERGED:
+                self._merge()
+
+    def _merge(self) -> None:
+        if self.signatures:
+            self._take(np.array(self.signatures, np.int64).min(axis=0))
+            self.signatures.clear()
 
     def _take(self, least: np.ndarray) -> None:
         self.least = least if self.least is None else np.minimum(self.least, least)
 
     def result(self):
+        if self.least is None and len(self.signatures) == 1:
+            return list(self.signatures[0])
+        self._merge()
         return [] if self.least is None else self.least.tolist()
 
 
@@ -120,7 +137,7 @@ class BloomFilters(_Fold):
 
     def __init__(self):
         super().__init__()
-        self.a, self.b = np.array(coefficients(FILTER_HASHES, FILTER_SEED), np.int64).T
+        self.a, self.b = _family(FILTER_HASHES, FILTER_SEED)
         self.bits = np.zeros(FILTER_BITS, np.uint8)
 
     @staticmethod
