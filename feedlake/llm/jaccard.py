@@ -14,7 +14,8 @@ that of the first nodes of its keys that it shares most keys with; that settles
 of near copies in as many comparisons as they have members. Components are formed, and
 those that meet on a key are compared by single pairs and joined, some times over. Only
 nodes of one key that are then still in different components are compared among each
-other, all behind the bounds that their bit sketches give. Every comparison that passes the
+other, all behind the bounds that their bit sketches give, and on one of their common keys
+where the least keys that both carry tell which. Every comparison that passes the
 bound is verified on the whole sets; nothing is capped, so no link between different
 sets is lost.
 
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlake.llm import shingles
@@ -43,6 +44,8 @@ NINTH = 9
 WIDTH = 256
 #: Words of 64 bits of the sketch that bounds the pairs of the last comparison.
 MIDDLE = 16
+#: Keys of a set that travel with it in the last comparison, so that two sets with several keys in common make one pair.
+CARRIED = 8
 #: Times that components which meet on a key are compared by single pairs, before all that is left is compared.
 ROUNDS = 1
 #: Equal sets forgotten by a partition beyond this many; a later copy then costs shuffle, not correctness.
@@ -335,6 +338,31 @@ def _between_components(apart: DataFrame) -> DataFrame:
     return pairs.groupBy("a_component", "b_component").agg(best).select("best.*")
 
 
+def _with_least_keys(apart: DataFrame) -> DataFrame:
+    """``apart`` with ``least``: of each node's keys the ``CARRIED`` least ones."""
+    place = F.row_number().over(Window.partitionBy("f1", "f2").orderBy("key"))
+    early = F.when(F.col("place") <= CARRIED, F.col("key"))
+    least = F.sort_array(F.collect_list(early).over(Window.partitionBy("f1", "f2")))
+    return apart.withColumn("place", place).withColumn("least", least).drop("place")
+
+
+def _met_here(key: Column, one: Column, other: Column) -> Column:
+    """Whether two nodes are to be compared on this one of their common keys.
+
+    That is the least of the keys that both carry. Nodes that carry none in common are compared on each.
+    """
+    return F.coalesce(key == F.array_min(F.array_intersect(one, other)), F.lit(True))
+
+
+def _all_between(apart: DataFrame) -> DataFrame:
+    """Possible pairs of nodes that meet on a key and lie in different components."""
+    also = ("component", "middle", "least")
+    a, b = (_side(apart, x, "key", *(F.col(c).alias(f"{x}_{c}") for c in also)) for x in "ab")
+    alike = _possible() & _wide_enough(F.col("a_middle"), F.col("b_middle"))
+    alike &= _met_here(F.col("key"), F.col("a_least"), F.col("b_least"))
+    return a.join(b, "key").where((F.col("a_component") < F.col("b_component")) & alike)
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row."""
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -368,11 +396,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         tops = settle(components(links), "components")
     # What is still apart on a key, all against all behind a wider sketch.
     apart = _apart(shared, nodes, tops).join(nodes.select("f1", "f2", _folded(F.col("wide"), F.lit(MIDDLE)).alias("middle")), ["f1", "f2"])
-    apart = settle(apart, "apart")
-    a, b = (_side(apart, x, "key", F.col("component").alias(f"{x}_component"), F.col("middle").alias(f"{x}_middle")) for x in "ab")
-    alike = _possible() & _wide_enough(F.col("a_middle"), F.col("b_middle"))
-    pairs = a.join(b, "key").where((F.col("a_component") < F.col("b_component")) & alike)
-    more = verified(narrowed(pairs, nodes), named)
+    apart = settle(_with_least_keys(apart), "apart")
+    more = verified(narrowed(_all_between(apart), nodes), named)
     if not more.isEmpty():
         tops = components(links.unionByName(more))
 

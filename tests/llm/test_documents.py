@@ -59,6 +59,17 @@ def test_components_of_awkward_rows(spark):
     assert jaccard.jaccard_components(documents(spark, [])).count() == 0
 
 
+def test_sets_with_many_common_keys_make_one_pair(spark):
+    held = {n: {f for f in range(60) if (f * 7 + n) % 5} for n in range(12)} | {12: {1000, *range(60, 80)}, 13: {1000, *range(80, 100)}}
+    rows = [(key, n, n, n, 300, *[0] * 4, n, [0] * 16) for n, keys in held.items() for key in keys]
+    schema = "key bigint, f1 bigint, f2 bigint, node bigint, n bigint, b0 bigint, b1 bigint, b2 bigint, b3 bigint, component bigint, middle array<bigint>"
+    apart = jaccard._with_least_keys(spark.createDataFrame(rows, schema))
+    got = sorted((r.anode, r.bnode) for r in jaccard._all_between(apart).collect())
+    # The last two carry no key in common, but still meet on the one they have.
+    assert got == sorted((a, b) for a in held for b in held if a < b and held[a] & held[b])
+    assert (12, 13) in got and len(got) == 12 * 11 // 2 + 1
+
+
 def test_enough_segments_are_filled():
     import numpy as np
 
