@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import hashlib
 import re
-import struct
-from collections.abc import Callable
+import sys
+from array import array
+from collections.abc import Callable, Iterable
+from functools import lru_cache
+from operator import attrgetter
 
 import regex
 
@@ -61,13 +64,19 @@ class Memory(dict):
         return value
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    """The library's tokenizer, loaded once by each Python worker."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class _Encoder:
     """Chunks of a text, each encoded once while memory lasts; subclasses say what is kept of the tokens."""
 
     def __init__(self, path: str, memory: int = MEMORY):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces = Memory(self._piece, memory)
@@ -94,8 +103,39 @@ class TokenCounter(_Encoder):
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+_ID = attrgetter("id")
+
+
+def _packed(ids: Iterable[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+class _ChunkIds(dict):
+    """Packed ids of chunks and their pieces, kept while there is room.
+
+    Most chunks of a corpus are new ones, so a new word takes a single call besides the library's.
+    """
+
+    def __init__(self, model, letters: dict[int, str], room: int):
+        super().__init__()
+        self.tokenize, self.letters, self.room = model.tokenize, letters, room
+
+    def __missing__(self, chunk: str) -> bytes:
+        pieces = None
+        if not chunk.isalpha():
+            last = chunk[-1]
+            pieces = [chunk[:-1], last] if last in ".,;:!?" and chunk[:-1].isalpha() else WORD_PATTERN(chunk)
+        if pieces is not None and len(pieces) > 1:
+            ids = b"".join([self[p] for p in pieces])
+        else:  # without white space every byte of ASCII is its own letter
+            shown = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters)
+            ids = _packed(map(_ID, self.tokenize(shown)))
+        if len(self) < self.room:
+            self[chunk] = ids
+        return ids
 
 
 class TokenIds(_Encoder):
@@ -108,32 +148,11 @@ class TokenIds(_Encoder):
 
     def __init__(self, path: str, memory: int = MEMORY):
         super().__init__(path, memory)
-        self.pieces = self.known = Memory(self._chunk, memory)
-
-    def _chunk(self, chunk: str) -> bytes:
-        pieces = self.split(chunk)
-        return self._piece(chunk) if len(pieces) == 1 else self.join([self.known[p] for p in pieces])
-
-    def _piece(self, piece: str) -> bytes:
-        if piece.isascii():  # without white space every byte is its own letter
-            return _packed([t.id for t in self.model.tokenize(piece)])
-        return super()._piece(piece)
-
-    @staticmethod
-    def kept(tokens) -> bytes:
-        return _packed([t.id for t in tokens])
+        self.pieces = self.known = _ChunkIds(self.model, self.letters, memory)
 
     @staticmethod
     def chunks(text: str) -> list[str]:
         return text.lower().split()
 
-    @staticmethod
-    def split(chunk: str) -> list[str]:
-        if chunk.isalpha():
-            return [chunk]
-        if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
-            return [chunk[:-1], chunk[-1]]
-        return WORD_PATTERN(chunk)
-
     def whole(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)

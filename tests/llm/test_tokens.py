@@ -3,6 +3,7 @@
 import bisect
 import random
 import struct
+import sys
 import zlib
 
 import numpy as np
@@ -31,6 +32,18 @@ def test_same_ids_as_the_library(name, kind):
         assert own.encode(text) == (len(ids) if kind is TokenCounter else struct.pack(f"<{len(ids)}I", *ids)), text
 
 
+def test_a_new_word_takes_one_call():
+    rng, own, calls = random.Random(6), TokenIds(tokenizer_path("word_bpe_49k.json")), []
+    words = sorted({"".join(rng.choices("abcdeéü", k=9)) for _ in range(500)})
+    sys.setprofile(lambda frame, event, _: event == "call" and calls.append(frame.f_code.co_name))
+    try:
+        own.encode(" ".join(words))
+    finally:
+        sys.setprofile(None)
+    # The call for a word, and that which packs its ids.
+    assert len(calls) <= 2 * len(words) + 20
+
+
 def test_counts_and_cache(spark, tmp_path):
     cache, docs, whole = str(tmp_path / "cache"), documents(spark, AWKWARD), library("byte_bpe_50k.json")
     want = sorted(
