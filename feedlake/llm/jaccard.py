@@ -40,12 +40,12 @@ from feedlake.llm.store import settle
 #: Sets link when 100 * intersection >= 80 * union, that is when they differ by at most a ninth of their summed sizes.
 NINTH = 9
 #: Bits of the single-bit sketch that bounds a difference before a pair is verified and travels with every
-#: pair. The pairs that it leaves are tried by a sketch of two to four bits per member, which tells large sets apart.
+#: pair. The pairs that it leaves are tried by a sketch of two or more bits per member, which tells large sets apart.
 WIDTH = 256
-#: Words of 64 bits of the sketch that bounds the pairs of the last comparison.
+#: Words of 64 bits of the sketch that bounds the pairs of the last comparison; no set's wide sketch is narrower.
 MIDDLE = 16
 #: Keys of a set that travel with it in the last comparison, so that two sets with several keys in common make one pair.
-CARRIED = 8
+CARRIED = 16
 #: Times that components which meet on a key are compared by single pairs, before all that is left is compared.
 ROUNDS = 1
 #: Equal sets forgotten by a partition beyond this many; a later copy then costs shuffle, not correctness.
@@ -126,7 +126,7 @@ def set_sizes(texts: DataFrame) -> DataFrame:
             found, wide = [], []
             for s in shingles.sets(batch.column(1)):
                 found.append((len(s), *_digest(s), *bit_sketch(s).tolist()))
-                wide.append(bit_sketch(s, max(64, 2 << _band(len(s)))))
+                wide.append(bit_sketch(s, max(64 * MIDDLE, 2 << _band(len(s)))))
             if found:
                 columns = [pa.array(c, pa.int64()) for c in zip(*found)]
                 ends = np.cumsum([0, *map(len, wide)], dtype=np.int32)
@@ -225,10 +225,10 @@ def _side(nodes: DataFrame, side: str, *also) -> DataFrame:
     return nodes.select(*also, *named)
 
 
-def _differing():
-    """Bits in which the narrow sketches of a pair differ."""
+def _differing(words=BITS):
+    """Bits in which the sketches of a pair differ that stand in the columns ``words``, the narrow ones unless told."""
     apart = F.lit(0)
-    for b in BITS:
+    for b in words:
         apart = apart + F.bit_count(F.col(f"a{b}").bitwiseXOR(F.col(f"b{b}")))
     return apart
 
@@ -355,10 +355,17 @@ def _met_here(key: Column, one: Column, other: Column) -> Column:
 
 
 def _all_between(apart: DataFrame) -> DataFrame:
-    """Possible pairs of nodes that meet on a key and lie in different components."""
-    also = ("component", "middle", "least")
-    a, b = (_side(apart, x, "key", *(F.col(c).alias(f"{x}_{c}") for c in also)) for x in "ab")
-    alike = _possible() & _wide_enough(F.col("a_middle"), F.col("b_middle"))
+    """Possible pairs of nodes that meet on a key and lie in different components.
+
+    The words of the middle sketch are columns, so that the join itself can judge them
+    and makes no row for a pair that they rule out.
+    """
+    words = [f"m{i}" for i in range(MIDDLE)]
+    middle = [F.get("middle", F.lit(i)).alias(w) for i, w in enumerate(words)]
+    apart = apart.select("*", *middle)
+    also = ("component", "least")
+    a, b = (_side(apart, x, "key", *(F.col(c).alias(f"{x}_{c}") for c in also), *(F.col(w).alias(x + w) for w in words)) for x in "ab")
+    alike = _possible() & (NINTH * _differing(words) <= F.col("an") + F.col("bn"))
     alike &= _met_here(F.col("key"), F.col("a_least"), F.col("b_least"))
     return a.join(b, "key").where((F.col("a_component") < F.col("b_component")) & alike)
 
