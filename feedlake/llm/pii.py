@@ -350,19 +350,25 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with every found span of the text replaced by its kind in angle brackets; null stays null."""
-    # The row as one column, so that no name of it can clash.
-    rows = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"), F.col(text_col).alias("text"))
+    """``docs`` with every found span of the text replaced by its kind in angle brackets; null stays null.
+
+    The text travels once, beside one column of all others under names that can't clash.
+    """
+    places = {c: f"c{i}" for i, c in enumerate(docs.columns) if c != text_col}
+    others = F.struct(F.lit(0).alias("none"), *(F.col(f"`{c}`").alias(p) for c, p in places.items())).alias("row")
+    rows = docs.select(others, F.col(f"`{text_col}`").alias("text"))
     found = decided(settle(candidate_spans(rows, "row", "text"), "pii-candidates"))
+    out = found.mapInArrow(mask_batches, rows.schema)
+    return out.select(*(F.col(f"row.{places[c]}" if c in places else "text").alias(c) for c in docs.columns))
 
-    def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())
-            texts = pa.array([masked(t, s) for t, s in pairs], pa.string())
-            yield pa.record_batch([batch.column("row"), texts], ["row", "text"])
 
-    out = found.mapInArrow(mask, rows.schema)
-    return out.select(*(F.col("text" if c == text_col else f"row.`{c}`").alias(c) for c in docs.columns))
+def mask_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``row, text, spans`` to ``row`` and the masked text, a slice at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, SLICE):
+            row, texts, spans = (batch.column(c).slice(i, SLICE) for c in ("row", "text", "spans"))
+            texts = pa.array([masked(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist())], pa.string())
+            yield pa.record_batch([row, texts], ["row", "text"])
 
 
 def masked(text: str | None, spans: list[dict]) -> str | None:

@@ -222,6 +222,22 @@ def test_taken_stretches():
     assert len(pii.candidates(text, pii.base_spans(text))) >= 20_000
 
 
+def test_masking_sends_the_text_once_and_works_in_slices(spark, monkeypatch):
+    import pyarrow as pa
+
+    docs, sent, real = documents(spark, [(n, f"write to a{n}@host.com") for n in range(5)]), [], pii.candidate_spans
+    monkeypatch.setattr(pii, "candidate_spans", lambda rows, *keep: sent.append(rows.schema) or real(rows, *keep))
+    masked = pii.mask_pii(docs)
+    assert masked.columns == docs.columns and {r.text for r in masked.collect()} == {"write to <EMAIL>"}
+    assert sent[0].names == ["row", "text"] and len(sent[0]["row"].dataType.names) == len(docs.columns)  # none of them the text
+    only = pii.mask_pii(docs.select(F.col("text").alias("a.b")), "a.b")
+    assert only.columns == ["a.b"] and {r[0] for r in only.collect()} == {"write to <EMAIL>"}
+    spans = pa.array([[{"kind": 0, "start": 0, "end": 1, "base": True, "pattern": 0}]] * 1000, pa.list_(pii.SPAN))
+    batch = pa.record_batch([pa.array([{"none": 0}] * 1000), pa.array(["ab"] * 1000), spans], ["row", "text", "spans"])
+    made = list(pii.mask_batches(iter([batch])))
+    assert max(b.num_rows for b in made) <= pii.SLICE and [t for b in made for t in b.column("text").to_pylist()] == ["<EMAIL>b"] * 1000
+
+
 def test_overlapping_spans_are_masked_once():
     spans = [{"kind": 2, "start": 2, "end": 8}, {"kind": 3, "start": 0, "end": 5}]
     assert pii.masked("0123456789", spans) == "<PHONE>89"
