@@ -19,6 +19,15 @@ from feedlake.llm.store import settle
 #: Rows of a few numbers that may be broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 ROW = "__row__"
+#: Bytes that a Python worker gets at once, where the session sets no bound; by default it is ten thousand texts of any length.
+BATCH_BYTES = 1 << 20
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    """Batches for Python are bounded by bytes; a stage's result is computed after it returns, so the session keeps the bound."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(setting, None) is None:
+        spark.conf.set(setting, str(BATCH_BYTES))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -40,6 +49,7 @@ def _without(keyed: DataFrame, rows: DataFrame, column: str) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an accepted language, which replaces what they declared."""
+    _bound_batches(spark)
     keyed = _keyed(docs)
     found = settle(langid.identify_documents(keyed.withColumn("doc_id", F.col(ROW))), "languages")
     # Mostly what was declared stands, so only the few others are carried over.
@@ -51,6 +61,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: that with the smallest id, null ids last."""
+    _bound_batches(spark)
     keyed = _keyed(docs)
     groups = settle(jaccard.jaccard_components(keyed, id_col=ROW), "groups").withColumnRenamed("doc_id", ROW)
     several = groups.where(F.col("component_id") != F.col(ROW)).select("component_id").distinct()
@@ -74,6 +85,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data masked; ``n_chars`` follows the text."""
+    _bound_batches(spark)
     masked = pii.mask_pii(docs)
     n_chars = F.coalesce(F.length("text"), F.col("n_chars"))
     return masked.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
@@ -81,6 +93,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, placed in sequences."""
+    _bound_batches(spark)
     return packing.pack(docs)
 
 

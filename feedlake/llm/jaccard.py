@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from feedlake.llm import shingles
 from feedlake.llm.components import components
 from feedlake.llm.store import settle
+from feedlake.llm.workers import tidy
 
 #: Sets link when 100 * intersection >= 80 * union, that is when they differ by at most a ninth of their summed sizes.
 NINTH = 9
@@ -133,7 +134,7 @@ def set_sizes(texts: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(wide)))
                 yield pa.record_batch([batch.column(0).cast(pa.int64()), *columns, lists], names(ROWS))
 
-    return texts.mapInArrow(rows, ROWS)
+    return texts.mapInArrow(tidy(rows), ROWS)
 
 
 def keys_of(texts: DataFrame) -> DataFrame:
@@ -160,7 +161,7 @@ def keys_of(texts: DataFrame) -> DataFrame:
             if total:
                 yield _key_batch(keys, digests, counts)
 
-    return texts.mapInArrow(rows, KEYS)
+    return texts.mapInArrow(tidy(rows), KEYS)
 
 
 def _key_batch(keys, digests, counts) -> pa.RecordBatch:
@@ -198,7 +199,7 @@ def shared_keys(keys: DataFrame) -> DataFrame:
                 open_first = True
             held = own[last : last + 1]
 
-    return keys.mapInArrow(rows, KEYS + ", r1 bigint, r2 bigint")
+    return keys.mapInArrow(tidy(rows), KEYS + ", r1 bigint, r2 bigint")
 
 
 def set_table(texts: DataFrame) -> DataFrame:
@@ -216,7 +217,7 @@ def set_table(texts: DataFrame) -> DataFrame:
             if found:
                 yield pa.record_batch([pa.array(c) for c in zip(*found)], names(SETS))
 
-    return texts.mapInArrow(rows, SETS)
+    return texts.mapInArrow(tidy(rows), SETS)
 
 
 def _side(nodes: DataFrame, side: str, *also) -> DataFrame:
@@ -310,7 +311,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             if found:
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["u", "v"])
 
-    return settle(dealt.mapInArrow(rows, "u bigint, v bigint"), "links")
+    return settle(dealt.mapInArrow(tidy(rows), "u bigint, v bigint"), "links")
 
 
 def _apart(shared: DataFrame, nodes: DataFrame, tops: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.store import settle
 from feedlake.llm.tokens import Memory
+from feedlake.llm.workers import tidy
 
 #: Rows the trigrams are learned from, languages told apart, and trigrams kept, at most.
 TRAINING_ROWS, LANGUAGES, TRIGRAMS = 20_000, 200, 300_000
@@ -79,7 +80,7 @@ def trained(texts: DataFrame) -> tuple[list[str], dict[str, np.ndarray]]:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], ["code", "gram", "n"])
 
     types = (pa.string(), pa.string(), pa.int64())
-    counts = sample.mapInArrow(count, "code string, gram string, n bigint").groupBy("code", "gram").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(tidy(count), "code string, gram string, n bigint").groupBy("code", "gram").agg(F.sum("n").alias("n"))
     counts = settle(counts, "trigrams")
     codes = counts.groupBy("code").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "code").limit(LANGUAGES).collect()
     codes = sorted(r.code for r in codes)
@@ -129,7 +130,7 @@ def text_evidence(rows: DataFrame, codes: list[str], table: dict[str, np.ndarray
                 yield pa.record_batch([*kept, pa.array(found, pa.list_(pa.float64()))], [*keep, "evidence"])
                 used = len(known)  # words beyond the memory are forgotten
 
-    return rows.mapInArrow(score, f"{schema}, evidence array<double>")
+    return rows.mapInArrow(tidy(score), f"{schema}, evidence array<double>")
 
 
 def _counts(rows: DataFrame, *by: str) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.store import settle
 from feedlake.llm.tokens import TokenIds, tokenizer_path
+from feedlake.llm.workers import tidy
 
 CAPACITY = 4096
 END_ID = 1
@@ -59,7 +60,7 @@ def pieces_of(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFra
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows), PIECE_TYPES)]
                 yield pa.record_batch(columns, PIECE_NAMES)
 
-    return docs.mapInArrow(cut, PIECES)
+    return docs.mapInArrow(tidy(cut), PIECES)
 
 
 PIECE_NAMES = [x.split()[0] for x in PIECES.split(", ")]
@@ -202,7 +203,7 @@ def place(ranked: DataFrame, table: np.ndarray) -> DataFrame:
             found = [pa.array(sequence[run] + rank - first[run]), pa.array(offset[run])]
             yield pa.record_batch(kept + found, OUT_NAMES)
 
-    return ranked.mapInArrow(look_up, OUT)
+    return ranked.mapInArrow(tidy(look_up), OUT)
 
 
 OUT = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"

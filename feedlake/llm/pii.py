@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.store import settle
+from feedlake.llm.workers import tidy
 
 KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
@@ -318,7 +319,7 @@ def candidate_spans(texts: DataFrame, *keep: str) -> DataFrame:
                 kept = [batch.column(n).slice(i, SLICE) for n in keep]
                 yield pa.record_batch([*kept, rows], [*keep, "spans"])
 
-    return texts.mapInArrow(find, f"{schema}, spans {SPANS}")
+    return texts.mapInArrow(tidy(find), f"{schema}, spans {SPANS}")
 
 
 def decided(found: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -358,7 +359,7 @@ def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     others = F.struct(F.lit(0).alias("none"), *(F.col(f"`{c}`").alias(p) for c, p in places.items())).alias("row")
     rows = docs.select(others, F.col(f"`{text_col}`").alias("text"))
     found = decided(settle(candidate_spans(rows, "row", "text"), "pii-candidates"))
-    out = found.mapInArrow(mask_batches, rows.schema)
+    out = found.mapInArrow(tidy(mask_batches), rows.schema)
     return out.select(*(F.col(f"row.{places[c]}" if c in places else "text").alias(c) for c in docs.columns))
 
 

@@ -55,3 +55,43 @@ def test_rows_of_one_id_are_judged_apart(spark, small):
     assert {(r.doc_id, r.text) for r in kept.collect()} == {rows[0], *rows[3:]}
     kept = settle(STAGES["n-gram Jaccard join"](spark, docs, small), "s")
     assert {(r.doc_id, r.text) for r in kept.collect()} == {*rows[:3], rows[5], rows[6]}
+
+
+def test_workers_give_back_memory_after_each_task_of_a_stage(spark, small, monkeypatch):
+    from feedlake.llm import workers
+
+    used, frame = [], type(spark.range(1))
+    real = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda df, rows, *a, **k: used.append(rows) or real(df, rows, *a, **k))
+    docs = documents(spark, AWKWARD)
+    for _, stage in pipeline.STAGES:
+        stage(spark, docs, small)
+    assert len(used) >= 9 and all(rows.__code__ is workers.tidy(rows).__code__ for rows in used)
+
+    given_back = []
+
+    class Pool:
+        def release_unused(self):
+            given_back.append(len(seen))
+
+    monkeypatch.setattr(workers.pa, "default_memory_pool", Pool)
+    monkeypatch.setattr(workers.pa, "system_memory_pool", Pool)
+    seen = []
+    for batch in workers.tidy(lambda batches: (b + 1 for b in batches))(iter([1, 2])):
+        seen.append(batch)
+    assert seen == [2, 3] and given_back == [2, 2]
+
+
+def test_stages_bound_batches_by_bytes_unless_the_session_does(spark, small):
+    name, docs = "spark.sql.execution.arrow.maxBytesPerBatch", documents(spark, AWKWARD)
+    before = spark.conf.get(name, None)
+    try:
+        for stage in ("language ID", "n-gram Jaccard join", "PII", "best-fit packing"):
+            spark.conf.unset(name)
+            STAGES[stage](spark, docs, small)
+            assert 0 < int(spark.conf.get(name)) <= 1 << 20
+        spark.conf.set(name, "5000")
+        STAGES["PII"](spark, docs, small)
+        assert spark.conf.get(name) == "5000"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
