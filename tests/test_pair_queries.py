@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 import duckdb
 import pytest
 
-QUERIES = ["similarity_pairs", "journey_similarity", "stream_window_pairs", "stream_similarity"]
+QUERIES = ["similarity_pairs", "journey_similarity", "stream_window_pairs", "stream_similarity", "stream_chain"]
 
 
 @pytest.fixture(scope="module")
