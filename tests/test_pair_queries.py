@@ -7,6 +7,8 @@ import __spark_entry__ as entry
 import duckdb
 import pytest
 
+from feedlake.operators.similar import similar_pairs
+
 QUERIES = ["similarity_pairs", "journey_similarity", "stream_window_pairs", "stream_similarity", "stream_chain"]
 
 
@@ -33,3 +35,10 @@ def test_copies_pair_with_all_others(spark, table, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{table}/events.parquet/*.parquet'")
     assert sorted(con.execute(entry.oracle_sql()[name]).fetchall()) == got
+
+
+def test_nulls_hold_their_place(spark):
+    rows = [("a", [0, 3, None, 3]), ("b", [0, None, 3, 3]), ("c", [None, 3, None, 3])]
+    df = spark.createDataFrame([(r, "w", s) for r, s in rows], "rid string, window_end string, minhash_signature array<bigint>")
+    got = sorted(map(tuple, similar_pairs(df, 0.1).collect()))
+    assert got == [("w", "a", "b", 0.5), ("w", "a", "c", 0.5), ("w", "b", "c", 0.25)]
